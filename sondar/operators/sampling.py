@@ -1,0 +1,79 @@
+"""Reproducible sample that stays stable as data grows (problem 2): stratified thresholds on a salted key hash.
+
+A key is chosen if its hash lies below its stratum's threshold. The hash depends on salt and key alone, so neither
+layout nor order of the rows matters. Each stratum has a fixed rate, hence a fixed threshold; a table of earlier
+thresholds can only be raised (by a higher rate), never lowered, so what was chosen once stays chosen.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .scratch import Scratch
+from .skew import sized_join
+
+#: Hex digits of the hash that are used: 52 bits.
+DIGITS = 13
+
+
+@dataclass(frozen=True)
+class SampleConfig:
+    """rate: share of the keys of every stratum; rates: other shares for single strata."""
+
+    rate: float = 0.10
+    rates: tuple[tuple[str, float], ...] = ()
+    salt: str = "amostra-1"
+
+    def threshold(self, rate: float) -> str:
+        """The share as a bound of hashes: those below it are chosen."""
+        return "g" if rate >= 1 else format(int(rate * 16**DIGITS), f"0{DIGITS}x")
+
+    def fixed(self, stratum: Column) -> Column:
+        out = F.lit(self.threshold(self.rate))
+        for name, rate in self.rates:
+            out = F.when(stratum == name, self.threshold(rate)).otherwise(out)
+        return out
+
+
+def key_hash(key: Column, salt: str) -> Column:
+    """The first 13 hex digits of sha256(salt:key): even over all keys, the same everywhere."""
+    return F.substring(F.sha2(F.concat(F.lit(f"{salt}:"), key.cast("string")), 256), 1, DIGITS)
+
+
+def keyed(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig) -> DataFrame:
+    """One row a key: chave, estrato, carga (first load), h. A key that comes again keeps the stratum of its first load.
+
+    NULL keys name nothing and are left out; a NULL stratum is the stratum ''; a NULL load counts as the last of all.
+    Repeated rows are combined before the shuffle.
+    """
+    last = F.lit(2**31 - 1)
+    first = F.min(F.struct(F.coalesce(F.col(load).cast("int"), last).alias("carga"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("estrato")))
+    return df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("chave")).agg(first.alias("__f")).select("chave", "__f.estrato", "__f.carga", key_hash(F.col("chave"), config.salt).alias("h"))
+
+
+def with_threshold(keys: DataFrame, config: SampleConfig, previous: DataFrame | None, scratch: Scratch | None) -> DataFrame:
+    """``keys`` with limiar: the stratum's fixed threshold, or the one in ``previous`` (estrato, limiar) where that is higher."""
+    keys = keys.withColumn("limiar", config.fixed(F.col("estrato")))
+    if previous is None:
+        return keys
+    old = previous.groupBy("estrato").agg(F.max("limiar").alias("__old"))
+    both = sized_join(keys, old, ["estrato"], "left", ["chave"], scratch)
+    return both.withColumn("limiar", F.greatest("limiar", "__old")).drop("__old")
+
+
+def stable_sample(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig, previous: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """chave, estrato, carga (the key's first load), h, limiar of the chosen keys. Empty in, empty out.
+
+    Equal hashes of different keys (one in 2**52) are chosen together.
+    """
+    keys = with_threshold(keyed(df, key, stratum, load, config), config, previous, scratch)
+    return keys.where(F.col("h") < F.col("limiar")).select("chave", "estrato", "carga", "h", "limiar")
+
+
+def thresholds(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig, previous: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """estrato, limiar, chaves, escolhidas: the state to hand to the next run, with what it chooses of the keys so far."""
+    keys = with_threshold(keyed(df, key, stratum, load, config), config, previous, scratch)
+    return keys.groupBy("estrato", "limiar").agg(F.count(F.lit(1)).alias("chaves"), F.count_if(F.col("h") < F.col("limiar")).alias("escolhidas"))
