@@ -87,7 +87,7 @@ def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def found(diff: DataFrame, name: str) -> DataFrame:
     """tabela, chave, coluna, diferenca: one row a one-sided key, or a differing field."""
-    one = diff.where(F.col("situacao").isin("so_origem", "so_destino")).select(F.lit(name).alias("tabela"), "chave", F.lit("").alias("coluna"), F.col("situacao").alias("diferenca"))
-    each = diff.where(F.col("situacao") == "valor").select(F.lit(name).alias("tabela"), "chave", F.explode("difs.campo").alias("coluna"), F.lit("valor").alias("diferenca"))
+    side = F.col("situacao").isin("so_origem", "so_destino")
+    each = diff.where(F.col("situacao") != "igual").select("chave", F.when(side, F.col("situacao")).otherwise("valor").alias("diferenca"), F.explode(F.when(side, F.array(F.lit(""))).otherwise(F.col("difs.campo"))).alias("coluna"))
     # several versions of a key may differ in the same field
-    return one.unionByName(each).distinct()
+    return each.select(F.lit(name).alias("tabela"), "chave", "coluna", "diferenca").distinct()
