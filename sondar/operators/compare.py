@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import filled, whole_key
+from .prefix import even_hash, running
+from .scratch import Scratch
+from .skew import SALTS, hot_keys
 
 
 def normal(df: DataFrame, column: str, kind: str) -> Column:
@@ -16,7 +19,7 @@ def normal(df: DataFrame, column: str, kind: str) -> Column:
     kind: ``text`` (outer blanks removed, blank = NULL), ``second`` (a time without the fraction of its second), ``cents``
     (a number rounded to two decimals) or ``number`` (a whole number in any form).
     """
-    c = F.col(column)
+    c = F.col(f"`{column}`")
     if kind == "second":
         return F.date_format(F.date_trunc("second", c), "yyyy-MM-dd HH:mm:ss")
     if kind == "cents":
@@ -38,27 +41,39 @@ def kind_of(column: str, a: T.DataType, b: T.DataType) -> str:
     return "text"
 
 
-def _side(df: DataFrame, key: str, kinds: dict[str, str], side: str) -> DataFrame:
-    """Distinct normalised rows of one side, numbered within their key (nearly always one); one shuffle."""
-    fields = F.struct(*(normal(df, c, k).alias(c) for c, k in kinds.items()))
-    rows = df.select(whole_key(F.col(key)).alias("__key"), filled(F.col(key)).alias("__raw"), fields.alias(f"__{side}"))
-    # rows without a usable key never meet any other; spread them instead of sending all to one task
-    rows = rows.select("__key", F.when(F.col("__key").isNull(), F.coalesce("__raw", F.lit(""))).alias("__raw"), f"__{side}")
-    w = Window.partitionBy("__key", "__raw").orderBy(f"__{side}")
-    return rows.distinct().withColumn("__version", F.when(F.col("__key").isNull(), F.lit(1)).otherwise(F.row_number().over(w)))
+def _side(df: DataFrame, key: str, kinds: dict[str, str], side: str, scratch: Scratch) -> DataFrame:
+    """Distinct normalised rows of one side, numbered within their key (nearly always one).
+
+    Rows of a key that is hot are numbered in parts of a hash of the row; rows without a usable key meet none and need
+    no number.
+    """
+    fields = F.struct(*(normal(df, c, k).alias(c) for c, k in kinds.items()), F.lit(None).cast("string").alias("__"))
+    rows = df.select(whole_key(F.col(f"`{key}`")).alias("__key"), filled(F.col(f"`{key}`")).alias("__raw"), fields.alias(f"__{side}"))
+    rows = rows.select("__key", F.when(F.col("__key").isNull(), F.coalesce("__raw", F.lit(""))).alias("__raw"), f"__{side}").distinct()
+    none = rows.where(F.col("__key").isNull()).withColumn("__version", F.lit(1).cast("bigint"))
+    hot = [k for (k,) in hot_keys(df.select(whole_key(F.col(f"`{key}`")).alias("__key")), ["__key"])]
+    w = Window.partitionBy("__key").orderBy(f"__{side}")
+    few = rows.where(F.col("__key").isNotNull() & ~F.col("__key").isin(hot)).withColumn("__version", F.row_number().over(w).cast("bigint"))
+    out = few.unionByName(none)
+    if hot:
+        many = rows.where(F.col("__key").isin(hot)).withColumn("__h", even_hash(f"__{side}")).withColumn("__text", F.to_json(f"__{side}"))
+        numbered = running(many, ["__key"], "__h", ["__text"], F.lit(1).cast("bigint"), F.lit(SALTS), scratch, "__version")
+        out = out.unionByName(numbered.withColumn("__version", F.col("__version") + 1).drop("__h", "__text"))
+    return out
 
 
-def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def differences(left: DataFrame, right: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """One row a key and version: chave, versao, situacao (so_origem, so_destino, valor, igual) and difs, an array of (campo, esquerda, direita).
 
     All columns that both sides have, but for the key, are compared in normal form. Repeated rows count once. A key with
-    several different rows on a side is compared version by version, in the order of their values; a version too many
+    several different rows on a side is compared version by version, in the order of their values (of a hash of them if the
+    key is hot); a version too many
     differs from nothing in every field that it fills. A key that is no whole number matches nothing and is reported
     with chave NULL. An empty side leaves every key of the other one-sided.
     """
     there = set(right.columns)
     kinds = {c: kind_of(c, left.schema[c].dataType, right.schema[c].dataType) for c in left.columns if c in there and c != key}
-    a, b = _side(left, key, kinds, "left"), _side(right, key, kinds, "right")
+    a, b = _side(left, key, kinds, "left", scratch), _side(right, key, kinds, "right", scratch)
     left2, right2 = a.select("__key", "__version", "__left"), b.select("__key", "__version", "__right")
     has = F.col("__key").isNotNull()
     # rows without a key match nothing: they pass beside the join, which would send them all to one task
@@ -68,7 +83,7 @@ def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         .unionByName(left2.where(~has), allowMissingColumns=True)
         .unionByName(right2.where(~has), allowMissingColumns=True)
     )
-    pairs = F.array(*(F.struct(F.lit(c).alias("campo"), F.col(f"__left.{c}").alias("esquerda"), F.col(f"__right.{c}").alias("direita")) for c in kinds)) if kinds else F.array().cast("array<struct<campo:string,esquerda:string,direita:string>>")
+    pairs = F.array(*(F.struct(F.lit(c).alias("campo"), F.col("__left").getField(c).alias("esquerda"), F.col("__right").getField(c).alias("direita")) for c in kinds)) if kinds else F.array().cast("array<struct<campo:string,esquerda:string,direita:string>>")
     first = F.col("__version") == 1
     return both.select(
         F.col("__key").alias("chave"),

@@ -76,8 +76,8 @@ def _circles(rest: DataFrame, scratch: Scratch) -> DataFrame:
     return full.select("h", "id", F.array_min(ring).alias("root"), F.size(ring).alias("members"))
 
 
-def hierarchy(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """h, id, parent, root, depth, path, size, on_circle of every node (h, id, parent as of ``links``).
+def hierarchy(nodes: DataFrame, scratch: Scratch, paths: bool = True) -> DataFrame:
+    """h, id, root, depth, path (if asked for), size, on_circle of every node (h, id, parent as of ``links``).
 
     path runs from the root down to the node itself; size counts the node and all below it. A link to a node without a
     row ends there: the node is its own root at depth 0. On a circle, and below one, root is the least id of the circle
@@ -98,6 +98,8 @@ def hierarchy(nodes: DataFrame, scratch: Scratch) -> DataFrame:
         rounds.append(peeled)
     ring = _circles(rest.select("h", "id", "parent"), scratch)
     solved = scratch.keep(ring.join(rest.select("h", "id", "size"), ["h", "id"]).select("h", "id", "root", F.lit(-1).alias("depth"), F.array("id").alias("path"), "size", F.lit(True).alias("on_circle")))
+    if not paths:
+        solved = solved.withColumn("path", F.array().cast(LONG))
     parts = [solved]
     for chains in reversed(rounds):
         above = parts[0]
@@ -105,17 +107,18 @@ def hierarchy(nodes: DataFrame, scratch: Scratch) -> DataFrame:
             above = above.unionByName(p)
         above = above.select("h", F.col("id").alias("hang"), F.col("root").alias("__root"), F.col("depth").alias("__depth"), F.col("path").alias("__path"))
         hung = salted_join(chains, above, ["h", "hang"], "left", ["chain"])
-        down = F.concat(F.coalesce("__path", F.array().cast(LONG)), F.reverse("chain"))
+        down = F.concat(F.coalesce("__path", F.array().cast(LONG)), F.reverse("chain")) if paths else F.array().cast(LONG)
         base = F.coalesce(F.size("__path"), F.lit(0))
         n = F.size("chain")
         each = hung.select("h", F.coalesce("__root", F.element_at("chain", -1)).alias("root"), F.col("__depth"), down.alias("__down"), base.alias("__base"), n.alias("__len"), F.posexplode(F.arrays_zip("chain", "sizes")).alias("__i", "__x"))
         up = F.col("__len") - 1 - F.col("__i")  # steps below the chain's top
+        path = F.slice("__down", F.lit(1), F.col("__base") + up + 1) if paths else F.array().cast(LONG)
         part = each.select(
             "h",
             F.col("__x.chain").alias("id"),
             "root",
             F.when(F.col("__depth") == -1, -1).otherwise(F.coalesce(F.col("__depth") + 1, F.lit(0)) + up).cast("int").alias("depth"),
-            F.slice("__down", F.lit(1), F.col("__base") + up + 1).alias("path"),
+            path.alias("path"),
             F.col("__x.sizes").cast("bigint").alias("size"),
             F.lit(False).alias("on_circle"),
         )
@@ -123,7 +126,7 @@ def hierarchy(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out if paths else out.drop("path")
 
 
 def descendants(tree: DataFrame) -> DataFrame:

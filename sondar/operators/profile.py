@@ -163,7 +163,7 @@ def long_values(df: DataFrame, load: str) -> DataFrame:
     """num_carga, coluna, valor of every column of the distinct rows: one row a field, unpivoted in the scan's stage."""
     cols = [c for c in df.columns if c != load]
     rows = df.distinct()
-    each = F.array(*(F.struct(F.lit(c).alias("coluna"), filled(F.col(c)).alias("valor")) for c in cols))
+    each = F.array(*(F.struct(F.lit(c).alias("coluna"), filled(F.col(f"`{c}`")).alias("valor")) for c in cols))
     return rows.select(F.col(load).cast("int").alias("num_carga"), F.explode(each).alias("__e")).select("num_carga", "__e.coluna", "__e.valor")
 
 

@@ -85,14 +85,14 @@ def p3_contagens(spark: SparkSession, d: str) -> DataFrame:
     return state.select(F.col("__ref").alias("referencia"), F.col("__key").alias("chave"), "refs", "active", "ever")
 
 
-def _tree(spark: SparkSession, d: str) -> DataFrame:
+def _tree(spark: SparkSession, d: str, paths: bool = True) -> DataFrame:
     scratch = Scratch(spark, "p4")
-    return hierarchy.hierarchy(hierarchy.links(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS), scratch)
+    return hierarchy.hierarchy(hierarchy.links(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS), scratch, paths)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     linked = hierarchy.links(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS).where("parent is not null").select("h", "id")
-    return _tree(spark, d).join(linked, ["h", "id"], "left_semi").select(F.col("h").alias("hierarquia"), F.col("id").alias("num_if"), F.col("root").alias("num_if_raiz"), F.col("depth").alias("profundidade"))
+    return _tree(spark, d, paths=False).join(linked, ["h", "id"], "left_semi").select(F.col("h").alias("hierarquia"), F.col("id").alias("num_if"), F.col("root").alias("num_if_raiz"), F.col("depth").alias("profundidade"))
 
 
 def p4_caminhos(spark: SparkSession, d: str) -> DataFrame:
@@ -104,12 +104,13 @@ def p4_descendentes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_circulos(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.circle_members(_tree(spark, d)).select(F.col("h").alias("hierarquia"), F.col("circle").alias("circulo"), F.col("id").alias("num_if"))
+    return hierarchy.circle_members(_tree(spark, d, paths=False)).select(F.col("h").alias("hierarquia"), F.col("circle").alias("circulo"), F.col("id").alias("num_if"))
 
 
 def _diffs(spark: SparkSession, d: str):
+    scratch = Scratch(spark, "p5")
     for t, (copy, key) in COPIES.items():
-        yield t, compare.differences(table(spark, d, t), table(spark, d, copy), key)
+        yield t, compare.differences(table(spark, d, t), table(spark, d, copy), key, scratch)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
