@@ -105,8 +105,8 @@ def collect_mixture(docs: DataFrame, sources: list[Source], mix: Mixture, scratc
     """source, doc_id, passagem, bloco, posicao, tokens: the documents of the mixture, each use a row.
 
     Within a source and pass, documents come in the order of a salted hash (ties by doc_id); posicao is the number of
-    tokens of the source before it. The last document is taken if that brings the source nearer to its share, so a
-    source misses it by half a document at most. bloco runs over the whole mixture, about ``block_tokens`` each. A
+    tokens of the source before it. Documents are taken as long as they fit in the source's share; then one more of
+    those left, whose length comes nearest to the rest. bloco runs over the whole mixture, about ``block_tokens`` each. A
     document without tokens, or of a source without a target, is in no mixture. Empty in, empty out.
     """
     by = {s.name: s for s in sources}
@@ -124,10 +124,19 @@ def collect_mixture(docs: DataFrame, sources: list[Source], mix: Mixture, scratc
     parts = per_source({k: max(1, -(-by[k].docs // PART_ROWS)) for k in goal}, "bigint")
     placed = running(hashed, ["source", "passagem"], "__h", ["doc_id"], F.col("tokens"), parts, scratch, "__start")
     at = F.col("__start") + (F.col("passagem") - 1) * per_source({k: by[k].tokens for k in goal}, "bigint")
+    placed = scratch.keep(placed.select("source", "doc_id", "passagem", "tokens", "__h", at.alias("posicao")))
     due = per_source(goal, "double")
+    inside = F.col("posicao") + F.col("tokens") <= due
+    kept = placed.where(inside).drop("__h")
+    used = {r.source: r.t for r in kept.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}  # a row a source with a target
+    # one more use fills what is left best: the one whose length is nearest to it
+    gap = due - F.coalesce(per_source(used, "double"), F.lit(0.0))
+    off = F.abs(gap - F.col("tokens"))
+    last = placed.where(~inside & (off < gap)).groupBy("source").agg(F.min(F.struct(off.alias("o"), "__h", "doc_id", "passagem", "tokens")).alias("__b"))
+    filler = last.select("source", "__b.doc_id", "__b.passagem", "__b.tokens", F.coalesce(per_source(used, "bigint"), F.lit(0)).cast("bigint").alias("posicao"))
     blocks = max(1, math.ceil(mix.budget / block_tokens))
-    kept = placed.withColumn("posicao", at).where(F.col("posicao") + F.col("tokens") / 2 <= due)
-    return kept.select("source", "doc_id", "passagem", F.least(F.floor(F.col("posicao") / due * blocks), F.lit(blocks - 1)).cast("int").alias("bloco"), "posicao", "tokens")
+    block = F.least(F.floor(F.col("posicao") / due * blocks), F.lit(blocks - 1)).cast("int")
+    return kept.unionByName(filler).select("source", "doc_id", "passagem", block.alias("bloco"), "posicao", "tokens")
 
 
 def report(chosen: DataFrame, sources: list[Source], mix: Mixture) -> DataFrame:

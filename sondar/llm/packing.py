@@ -103,7 +103,8 @@ def plan(counts: dict[int, int], capacity: int, tries: int = 64) -> list[Make]:
 
     Work and result are bounded by the capacity, not by the number of items: each step uses up a length, or sets it
     aside. Ties go to the more plentiful length, then to the shorter one. ``tries``: lengths tried as the third of a
-    triple before the gap is narrowed by the largest item that fits.
+    triple before the gap is narrowed by the largest item that fits. Where items are so few that exact containers leave
+    more of the others open than they save, best fit alone is taken if that needs fewer containers.
     """
     stock = _Stock({k: v for k, v in counts.items() if k > 0 and v > 0}, capacity)
     makes: list[Make] = []
@@ -135,7 +136,14 @@ def plan(counts: dict[int, int], capacity: int, tries: int = 64) -> list[Make]:
         for x, k in taken.items():
             stock.n[x] -= k * times
         makes.append(Make(tuple(sorted(taken.items(), reverse=True)), times))
-    return makes + best_fit(aside, capacity)
+    makes += best_fit(aside, capacity)
+    number = lambda ms: sum(m.times for m in ms)
+    least = -(-sum(k * v for k, v in counts.items() if k > 0 and v > 0) // capacity)
+    if aside and number(makes) > least:
+        other = best_fit({k: v for k, v in counts.items() if k > 0 and v > 0}, capacity)
+        if number(other) < number(makes):
+            return other
+    return makes
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Make]:
