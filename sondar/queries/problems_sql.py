@@ -167,7 +167,7 @@ def p1_perfil() -> str:
 
 def _masked() -> str:
     m = "v"
-    for a, b in ((r"\p{Lu}+", "A"), (r"[\p{L}--A]+", "a"), (r"\p{Nd}+", "9"), (r"\s+", " "), ("(Aa|a|A)( (Aa|a|A))+", "a a")):
+    for a, b in ((r"\p{Lu}+", "A"), (r"[\p{L}--A]+", "a"), (r"\p{Nd}+", "9"), (r"\s+", " "), ("[Aa]+ [Aa ]*[Aa]", "a a")):
         if "--" in a:
             a = r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}]+"
         m = f"regexp_replace({m}, '{a}', '{b}', 'g')"
