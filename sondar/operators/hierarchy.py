@@ -5,18 +5,25 @@ be peeled one by one in the rounds to follow. Such a chain carries the list of i
 below it to the parent it hangs on. A round leaves at most half of the branching nodes' leaves, so the rounds are few
 (the Strahler number of the forest), however deep it is; chains are joined up by doubling. Nothing is peeled on a
 circle: what is left is the circles. In the reverse order of peeling, chains get root, depth and path from the node they
-hang on.
+hang on. Once no more than ``LOCAL_ROWS`` nodes are left (they are counted), one task peels the rest leaf by leaf: rounds
+over so few rows cost more than they do.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .skew import salted_join
+from .skew import HOT_ROWS, hot_keys, salted_join
 
 LONG = "array<bigint>"
+#: Up to so many nodes one task peels the rest.
+LOCAL_ROWS = 50_000
+#: Ids in the paths of one batch that such a task hands over.
+PATH_IDS = 1_000_000
+SOLVED = "h string, id bigint, root bigint, depth int, path array<bigint>, size bigint, on_circle boolean"
 
 
 def links(df: DataFrame, key: str, parents: dict[str, str]) -> DataFrame:
@@ -34,21 +41,22 @@ def _double(open_: DataFrame, done_when: Column, scratch: Scratch) -> DataFrame:
     Every id is the nxt of at most one row's list end, so no key is hot. Ends when ``done_when`` holds for every row that
     matters; the lists of the others stay within twice the longest.
     """
-    cur = scratch.keep(open_)
-    while not cur.where(~done_when).limit(1).isEmpty():
+    cur, _, open_rows = scratch.counted(open_, ~done_when)
+    while open_rows:
         up = cur.select("h", F.col("id").alias("nxt"), F.col("seg").alias("__s"), F.col("nxt").alias("__n"), F.lit(True).alias("__hit"))
         grown = cur.join(up, ["h", "nxt"], "left").select("h", "id", *[c for c in cur.columns if c not in ("h", "id", "seg", "nxt")], F.when(F.col("__hit"), F.concat("seg", "__s")).otherwise(F.col("seg")).alias("seg"), F.when(F.col("__hit"), F.col("__n")).alias("nxt"))
-        old, cur = cur, scratch.keep(grown)
+        old = cur
+        cur, _, open_rows = scratch.counted(grown, ~done_when)
         scratch.drop(old)
     return cur
 
 
-def _peel(rest: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, DataFrame]:
-    """One round on rest (h, id, parent, size): chains (h, chain from the leaf up, sizes along it, hang) and what is left; None if no leaf is."""
+def _peel(rest: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, int, DataFrame]:
+    """One round on rest (h, id, parent, size): chains (h, chain from the leaf up, sizes along it, hang), how many, and what is left; None if no leaf is."""
     kids = rest.where(F.col("parent").isNotNull()).groupBy("h", F.col("parent").alias("id")).agg(F.count(F.lit(1)).alias("kids"))
-    rest = scratch.keep(rest.join(kids, ["h", "id"], "left").withColumn("kids", F.coalesce("kids", F.lit(0).cast("bigint"))))
-    if rest.where(F.col("kids") == 0).limit(1).isEmpty():
-        return None, rest
+    rest, _, leaves = scratch.counted(rest.join(kids, ["h", "id"], "left").withColumn("kids", F.coalesce("kids", F.lit(0).cast("bigint"))), F.col("kids") == 0)
+    if not leaves:
+        return None, 0, rest
     thin = rest.where(F.col("kids") <= 1)
     # the next node above belongs to the chain if it is thin too: then it has no other child
     above = thin.where(F.col("kids") == 1).select("h", F.col("id").alias("parent"), F.lit(True).alias("__thin"))
@@ -65,7 +73,7 @@ def _peel(rest: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, DataFram
     left = rest.join(gone, ["h", "id"], "left_anti").join(sent, ["h", "id"], "left").select("h", "id", "parent", (F.col("size") + F.coalesce("__below", F.lit(0))).alias("size"))
     out = scratch.keep(left)
     scratch.drop(rest)
-    return peeled, out
+    return peeled, leaves, out
 
 
 def _circles(rest: DataFrame, scratch: Scratch) -> DataFrame:
@@ -76,6 +84,63 @@ def _circles(rest: DataFrame, scratch: Scratch) -> DataFrame:
     return full.select("h", "id", F.array_min(ring).alias("root"), F.size(ring).alias("members"))
 
 
+def _finish(rest: DataFrame, paths: bool) -> DataFrame:
+    """The solution of a rest (h, id, parent, size) of at most ``LOCAL_ROWS`` rows, peeled leaf by leaf in one task."""
+    most = PATH_IDS
+
+    def solve(batches):
+        size, up = {}, {}
+        for b in batches:
+            for h, i, p, top, n in zip(b["h"], b["id"], b["parent"], b["top"], b["size"]):
+                size[h, i], up[h, i] = n, None if top else (h, p)
+        kids = dict.fromkeys(up, 0)
+        for p in up.values():
+            if p:
+                kids[p] += 1
+        order = [x for x, n in kids.items() if n == 0]
+        for x in order:  # grows while leaves come up
+            if p := up[x]:
+                size[p] += size[x]
+                kids[p] -= 1
+                if kids[p] == 0:
+                    order.append(p)
+        root, depth, path = {}, {}, {}
+        for x in (x for x, n in kids.items() if n):
+            if x not in root:
+                ring, y = [], x
+                while y not in root:
+                    root[y] = None
+                    ring.append(y)
+                    y = up[y]
+                least = min(i for _, i in ring)
+                for y in ring:
+                    root[y], depth[y], path[y] = least, -1, (y[1],) if paths else ()
+        circle = set(root)
+        out, ids = [], 0
+
+        def frame():
+            return pd.DataFrame(out, columns=["h", "id", "root", "depth", "path", "size", "on_circle"])
+
+        for x in [*circle, *reversed(order)]:
+            if x not in root:
+                p = up[x]
+                root[x], depth[x] = (root[p], -1 if depth[p] == -1 else depth[p] + 1) if p else (x[1], 0)
+                if paths:
+                    path[x] = (*path[p], x[1]) if p else (x[1],)
+            out.append((*x, root[x], depth[x], list(path[x]) if paths else [], size[x], x in circle))
+            ids += len(path[x]) if paths else 1
+            if ids > most:
+                yield frame()
+                out.clear()
+                ids = 0
+        if out:
+            yield frame()
+
+    # no NULL among the ids: pandas would make them floating-point numbers
+    ready = rest.select("h", "id", F.coalesce("parent", F.lit(0)).alias("parent"), F.col("parent").isNull().alias("top"), "size")
+    return ready.coalesce(1).mapInPandas(solve, SOLVED)
+
+
 def hierarchy(nodes: DataFrame, scratch: Scratch, paths: bool = True) -> DataFrame:
     """h, id, root, depth, path (if asked for), size, on_circle of every node (h, id, parent as of ``links``).
 
@@ -84,29 +149,32 @@ def hierarchy(nodes: DataFrame, scratch: Scratch, paths: bool = True) -> DataFra
     and depth -1; the path of a node below one starts at the circle's node that it hangs on, and a circle's node has
     itself as path and the size of what hangs on it. Each node once; empty in, empty out.
     """
-    nodes = scratch.keep(nodes)
+    nodes, number, _ = scratch.counted(nodes)
     ids = nodes.select("h", F.col("id").alias("parent"), F.lit(True).alias("__there"))
     # children of one parent may be a third of all rows: salted where they are
-    linked = salted_join(nodes.where(F.col("parent").isNotNull()), ids, ["h", "parent"], "left", ["id"])
+    linked = salted_join(nodes.where(F.col("parent").isNotNull()), ids, ["h", "parent"], "left", ["id"], hot_keys(nodes, ["h", "parent"]) if number >= HOT_ROWS else [])
     rest = linked.select("h", "id", F.when(F.col("__there"), F.col("parent")).alias("parent")).unionByName(nodes.where(F.col("parent").isNull()))
-    rest = scratch.keep(rest.withColumn("size", F.lit(1).cast("bigint")))
-    rounds: list[DataFrame] = []
-    while True:
-        peeled, rest = _peel(rest, scratch)
+    rest, left, _ = scratch.counted(rest.withColumn("size", F.lit(1).cast("bigint")))
+    rounds: list[tuple[DataFrame, int]] = []
+    while left > LOCAL_ROWS:
+        peeled, n, rest = _peel(rest, scratch)
         if peeled is None:
             break
-        rounds.append(peeled)
-    ring = _circles(rest.select("h", "id", "parent"), scratch)
-    solved = scratch.keep(ring.join(rest.select("h", "id", "size"), ["h", "id"]).select("h", "id", "root", F.lit(-1).alias("depth"), F.array("id").alias("path"), "size", F.lit(True).alias("on_circle")))
-    if not paths:
-        solved = solved.withColumn("path", F.array().cast(LONG))
+        rounds.append((peeled, n))
+        left = rest.count()
+    if left <= LOCAL_ROWS:
+        solved = scratch.keep(_finish(rest, paths))
+    else:
+        ring = _circles(rest.select("h", "id", "parent"), scratch)
+        path = F.array("id") if paths else F.array().cast(LONG)
+        solved = scratch.keep(ring.join(rest.select("h", "id", "size"), ["h", "id"]).select("h", "id", "root", F.lit(-1).alias("depth"), path.alias("path"), "size", F.lit(True).alias("on_circle")))
     parts = [solved]
-    for chains in reversed(rounds):
+    for chains, number in reversed(rounds):
         above = parts[0]
         for p in parts[1:]:
             above = above.unionByName(p)
         above = above.select("h", F.col("id").alias("hang"), F.col("root").alias("__root"), F.col("depth").alias("__depth"), F.col("path").alias("__path"))
-        hung = salted_join(chains, above, ["h", "hang"], "left", ["chain"])
+        hung = salted_join(chains, above, ["h", "hang"], "left", ["chain"], hot_keys(chains, ["h", "hang"]) if number >= HOT_ROWS else [])
         down = F.concat(F.coalesce("__path", F.array().cast(LONG)), F.reverse("chain")) if paths else F.array().cast(LONG)
         base = F.coalesce(F.size("__path"), F.lit(0))
         n = F.size("chain")

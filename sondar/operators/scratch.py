@@ -6,7 +6,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LEFT: list[tuple[SparkSession, str]] = []
 
@@ -45,12 +46,17 @@ class Scratch:
         _LEFT.append((spark, self.at))
 
     def keep(self, df: DataFrame) -> DataFrame:
+        return self.counted(df)[0]
+
+    def counted(self, df: DataFrame, hits: Column | None = None) -> tuple[DataFrame, int, int]:
+        """The kept frame, its rows, and how many of them fulfil ``hits``: counted while they are written."""
         self.n += 1
         path = f"{self.at}/{self.n}"
-        df.write.mode("errorifexists").parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.lit(False) if hits is None else hits).alias("hits")).write.mode("errorifexists").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
-        return out
+        return out, seen.get["rows"], seen.get["hits"]
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:

@@ -59,7 +59,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spre
 
 def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str], scratch: Scratch, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``left`` join ``right`` (one row a key): ``right`` is written and counted, then broadcast if it has up to ``rows`` rows, else joined with salted hot keys."""
-    right = scratch.keep(right)
-    if right.count() <= rows:
+    right, n, _ = scratch.counted(right)
+    if n <= rows:
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, spread)

@@ -43,10 +43,13 @@ def forest(rng, n, kind):
     return p
 
 
-@pytest.mark.parametrize(("kind", "seed"), [("random", 1), ("chain", 2), ("star", 3)])
-def test_against_brute_force(spark, scratch, kind, seed, monkeypatch):
+@pytest.mark.parametrize(("kind", "seed", "local"), [("random", 1, 0), ("chain", 2, 0), ("star", 3, 60), ("random", 4, 10**6), ("chain", 5, 10**6)])
+def test_against_brute_force(spark, scratch, kind, seed, local, monkeypatch):
+    monkeypatch.setattr(hierarchy, "LOCAL_ROWS", local)
+    monkeypatch.setattr(hierarchy, "PATH_IDS", 500)
     if kind == "star":
         monkeypatch.setattr(skew.hot_keys, "__defaults__", (20,))
+        monkeypatch.setattr(hierarchy, "HOT_ROWS", 20)
     parents = forest(random.Random(seed), 700, kind)
     df = spark.createDataFrame([(i, p, 0) for i, p in parents.items()] + [(i, p, 1) for i, p in list(parents.items())[:20]], "id bigint, p bigint, depth int")
     tree = scratch.keep(hierarchy.hierarchy(hierarchy.links(df, "id", {"x": "p"}), scratch))
@@ -61,6 +64,13 @@ def test_against_brute_force(spark, scratch, kind, seed, monkeypatch):
     assert {r.id: (r.root, r.depth, r.size) for r in short.collect()} == {i: (v[0], v[1], v[3]) for i, v in want.items()}
 
 
+def test_large_ids_keep_their_value(spark, scratch):
+    big = 2**62
+    df = spark.createDataFrame([(big + 1, None), (big + 2, big + 1), (big + 3, big + 2)], "id bigint, p bigint")
+    tree = hierarchy.hierarchy(hierarchy.links(df, "id", {"x": "p"}), scratch)
+    assert rows(tree, "id", "root", "depth") == [(big + 1, big + 1, 0), (big + 2, big + 1, 1), (big + 3, big + 1, 2)]
+
+
 def test_odd_cases(spark, scratch):
     schema = "id bigint, p bigint, q bigint, h string, parent int"
     assert hierarchy.hierarchy(hierarchy.links(spark.createDataFrame([], schema), "id", {"x": "p"}), scratch).collect() == []
