@@ -40,16 +40,16 @@ def multiply(df: DataFrame, factor: int) -> DataFrame:
 
 def clone_root(df: DataFrame, pk: str, mapping: DataFrame, factor: int, start: int, scratch: Scratch, step: int = 1) -> DataFrame:
     """Clones of a table with numbers of its own; type and order of columns stay. The map is joined before rows are multiplied."""
-    both = sized_join(df, mapping.withColumnRenamed("old", pk), [pk], "inner", [pk], scratch)
-    out = multiply(both, factor).withColumn(pk, new_key(F.col("ordinal"), F.col(K), factor, start, step).cast(df.schema[pk].dataType))
+    both = sized_join(df, mapping.select(F.col("old").alias(pk), F.col("ordinal").alias("__ordinal")), [pk], "inner", [pk], scratch)
+    out = multiply(both, factor).withColumn(pk, new_key(F.col("__ordinal"), F.col(K), factor, start, step).cast(df.schema[pk].dataType))
     return out.select(*df.columns, K)
 
 
 def remap(clones: DataFrame, column: str, mapping: DataFrame, factor: int, start: int, scratch: Scratch, spread: list[str], step: int = 1) -> DataFrame:
     """A reference to a cloned parent follows to the clone with the same k if the parent is in the batch, else stays as it is (NULL too)."""
     kind = clones.schema[column].dataType
-    both = sized_join(clones, mapping.withColumnRenamed("old", column), [column], "left", spread, scratch)
-    return both.withColumn(column, F.coalesce(new_key(F.col("ordinal"), F.col(K), factor, start, step), F.col(column)).cast(kind)).select(*clones.columns)
+    both = sized_join(clones, mapping.select(F.col("old").alias(column), F.col("ordinal").alias("__ordinal")), [column], "left", spread, scratch)
+    return both.withColumn(column, F.coalesce(new_key(F.col("__ordinal"), F.col(K), factor, start, step), F.col(column)).cast(kind)).select(*clones.columns)
 
 
 def shift(df: DataFrame, columns: list[str], offset: int) -> DataFrame:

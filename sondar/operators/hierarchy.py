@@ -57,20 +57,26 @@ def _peel(rest: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, int, Dat
     rest, _, leaves = scratch.counted(rest.join(kids, ["h", "id"], "left").withColumn("kids", F.coalesce("kids", F.lit(0).cast("bigint"))), F.col("kids") == 0)
     if not leaves:
         return None, 0, rest
-    thin = rest.where(F.col("kids") <= 1)
     # the next node above belongs to the chain if it is thin too: then it has no other child
-    above = thin.where(F.col("kids") == 1).select("h", F.col("id").alias("parent"), F.lit(True).alias("__thin"))
-    segs = thin.join(above, ["h", "parent"], "left").select("h", "id", "kids", F.array("id").alias("seg"), F.when(F.col("__thin"), F.col("parent")).alias("nxt"))
-    segs = _double(segs, (F.col("kids") > 0) | F.col("nxt").isNull(), scratch)
-    chains = segs.where(F.col("kids") == 0).select("h", F.col("id").alias("leaf"), "seg")
+    above = rest.where(F.col("kids") == 1).select("h", F.col("id").alias("parent"), F.lit(True).alias("__thin"))
+    segs = scratch.keep(rest.where(F.col("kids") <= 1).join(above, ["h", "parent"], "left").select("h", "id", "parent", "size", "kids", F.when(F.col("__thin"), F.col("parent")).alias("nxt")))
+    # most leaves are chains of their own: nothing more is to be found for them
+    alone = (F.col("kids") == 0) & F.col("nxt").isNull()
+    lone = segs.where(alone).select("h", F.array("id").alias("chain"), F.array("size").alias("sizes"), F.col("parent").alias("hang"))
+    more = segs.where(~alone)
+    lists = _double(more.select("h", "id", "kids", F.array("id").alias("seg"), "nxt"), (F.col("kids") > 0) | F.col("nxt").isNull(), scratch)
+    chains = lists.where(F.col("kids") == 0).select("h", F.col("id").alias("leaf"), "seg")
     # sizes so far (of what was peeled below) and the parent of the chain's top
-    tall = chains.select("h", "leaf", F.posexplode("seg").alias("pos", "id")).join(rest.select("h", "id", "parent", "size"), ["h", "id"])
+    tall = chains.select("h", "leaf", F.posexplode("seg").alias("pos", "id")).join(more.select("h", "id", "parent", "size"), ["h", "id"])
     top = tall.groupBy("h", "leaf").agg(F.sort_array(F.collect_list(F.struct("pos", "id", "size", "parent"))).alias("__c"))
-    peeled = scratch.keep(top.select("h", F.col("__c.id").alias("chain"), F.expr("transform(__c, (x, i) -> aggregate(slice(__c, 1, i + 1), 0L, (a, y) -> a + y.size))").alias("sizes"), F.element_at("__c", -1)["parent"].alias("hang")))
-    scratch.drop(segs)
-    gone = peeled.select("h", F.explode("chain").alias("id"))
+    long = top.select("h", F.col("__c.id").alias("chain"), F.expr("transform(__c, (x, i) -> aggregate(slice(__c, 1, i + 1), 0L, (a, y) -> a + y.size))").alias("sizes"), F.element_at("__c", -1)["parent"].alias("hang"))
+    long = scratch.keep(long)
+    peeled = lone.unionByName(long)
+    scratch.drop(lists)
+    gone = long.select("h", F.explode("chain").alias("id"))
     sent = peeled.where(F.col("hang").isNotNull()).groupBy("h", F.col("hang").alias("id")).agg(F.sum(F.element_at("sizes", -1)).alias("__below"))
-    left = rest.join(gone, ["h", "id"], "left_anti").join(sent, ["h", "id"], "left").select("h", "id", "parent", (F.col("size") + F.coalesce("__below", F.lit(0))).alias("size"))
+    stay = more.select("h", "id", "parent", "size").join(gone, ["h", "id"], "left_anti").unionByName(rest.where(F.col("kids") > 1).select("h", "id", "parent", "size"))
+    left = stay.join(sent, ["h", "id"], "left").select("h", "id", "parent", (F.col("size") + F.coalesce("__below", F.lit(0))).alias("size"))
     out = scratch.keep(left)
     scratch.drop(rest)
     return peeled, leaves, out
@@ -174,7 +180,10 @@ def hierarchy(nodes: DataFrame, scratch: Scratch, paths: bool = True) -> DataFra
         for p in parts[1:]:
             above = above.unionByName(p)
         above = above.select("h", F.col("id").alias("hang"), F.col("root").alias("__root"), F.col("depth").alias("__depth"), F.col("path").alias("__path"))
-        hung = salted_join(chains, above, ["h", "hang"], "left", ["chain"], hot_keys(chains, ["h", "hang"]) if number >= HOT_ROWS else [])
+        # tops of trees hang on nothing; children of one node may be a third of all rows
+        low = chains.where(F.col("hang").isNotNull())
+        hung = salted_join(low, above, ["h", "hang"], "left", ["chain"], hot_keys(low, ["h", "hang"]) if number >= HOT_ROWS else [])
+        hung = hung.unionByName(chains.where(F.col("hang").isNull()), allowMissingColumns=True)
         down = F.concat(F.coalesce("__path", F.array().cast(LONG)), F.reverse("chain")) if paths else F.array().cast(LONG)
         base = F.coalesce(F.size("__path"), F.lit(0))
         n = F.size("chain")

@@ -30,9 +30,10 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 
 
 def coverage(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
-    """coluna, cobertura: the share of a's range (0 to 1) that b's range covers; NULL if a has no range."""
+    """coluna, cobertura: the share of a's range (0 to 1) that b's range covers; NULL if a has no range. NaN counts as NULL."""
     def ends(df: DataFrame, side: str) -> DataFrame:
-        return df.agg(*(x for i, c in enumerate(columns) for x in (F.min(F.col(c).cast("double")).alias(f"{side}lo{i}"), F.max(F.col(c).cast("double")).alias(f"{side}hi{i}"))))
+        v = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
+        return df.agg(*(x for i, c in enumerate(v) for x in (F.min(c).alias(f"{side}lo{i}"), F.max(c).alias(f"{side}hi{i}"))))
 
     one = ends(a, "a").crossJoin(ends(b, "b"))  # one row each
     part = lambda i: F.try_divide(F.greatest(F.least(F.col(f"ahi{i}"), F.col(f"bhi{i}")) - F.greatest(F.col(f"alo{i}"), F.col(f"blo{i}")), F.lit(0.0)), F.col(f"ahi{i}") - F.col(f"alo{i}"))
