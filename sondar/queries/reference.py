@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators import checks, clone, closure, dates, keys, prefix, repair, selection, shape, similarity, stats
+from ..operators import checks, clone, closure, dates, keys, prefix, preflight, repair, selection, shape, similarity, stats
 from ..operators.scratch import Scratch, folder
 from ..operators.skew import salted_join
 from ..plans import catalog
@@ -708,3 +708,89 @@ def reservation_ranges(spark, d):
     path = publish.artefact(spark, f"{folder(spark)}/reservas-{uuid.uuid4().hex}", "reserva", {"faixas": ledger})
     rows = publish.read_artefact(spark, path)["faixas"]
     return spark.createDataFrame([(r["name"], r["start"], r["end"]) for r in rows], "nome string, inicio bigint, fim bigint")
+
+
+# --- before and after a load ------------------------------------------------------------------------------------------------
+
+
+@query
+def preflight_operacao(spark, d):
+    """A load of operations checked against what its target holds and allows."""
+    o, i = _t(spark, d, "operacao", "instrumento_financeiro")
+    T = preflight.Target
+    target = {"num_id_operacao": T(None, 10, 0, False), "num_if": T(None, 9, 0, True), "cod_if": T(10), "cod_operacao": T(16), "num_id_ctx_msg_p2": T(12), "num_carga": T(None, 2, 0), "dat_operacao": T(nullable=False)}
+    return preflight.preflight(o, "operacao", target, [["num_id_operacao"], ["cod_if", "cod_operacao"]], {"num_id_operacao": o.select("num_id_operacao")}, {("num_if",): (i, ("num_if",))})
+
+
+@query
+def business_key_rules(spark, d):
+    i, o = _t(spark, d, "instrumento_financeiro", "operacao")
+    return preflight.business_keys(i, "num_if", "cod_if", "^[A-Z]{3}[0-9A-Z]{8}$", o, "cod_if", ["num_conta_participante_p1", "num_id_ctx_msg_p2"])
+
+
+@query
+def roots_without_child(spark, d):
+    i, t = _t(spark, d, "instrumento_financeiro", "titulo")
+    return preflight.without_child(i, "num_if", t.where("cod_tipo_escalonamento is not null"))
+
+
+@query
+def shift_overflow(spark, d):
+    o, c, i = _t(spark, d, "orders", "customer", "instrumento_financeiro")
+    return preflight.shift_report({"orders": (o, "o_orderkey"), "customer": (c, "c_custkey"), "instrumento_financeiro": (i, "num_if")}, 10_000, {"orders": 20_000})
+
+
+@query
+def code_map_consistency(spark, d):
+    (o,) = _t(spark, d, "orders")
+    m = prefix.ordinal(o.select("o_orderkey"), ["o_orderkey"]).select("o_orderkey", "ordinal", clone.placeholder(F.col("ordinal"), "CDB9").alias("codigo"))
+    return preflight.ordinal_consistency(m, "ordinal", "o_orderkey", "codigo", "^CDB9[0-9A-Z]{5}$", 1)
+
+
+@query
+def load_marks(spark, d):
+    o, c, e = _t(spark, d, "orders", "customer", "events")
+    return preflight.load_marks({"orders": (o, "o_orderkey"), "customer": (c, "c_custkey"), "events": (e.where("false"), "event_id")})
+
+
+@query
+def load_rolled_back(spark, d):
+    """Orders appended behind their highest key, and taken away again by the mark from before."""
+    o, scratch, m, start = _order_map(spark, d)
+    mark = preflight.load_marks({"orders": (o, "o_orderkey")}).first()["maximo"]
+    after = o.unionByName(clone.clone_root(o, "o_orderkey", m, 1, start, scratch).drop(clone.K))
+    return preflight.roll_back(after, "o_orderkey", mark).select("o_orderkey", "o_custkey")
+
+
+@query
+def clone_key_sample(spark, d):
+    """The first old keys with the keys of their clones: a report."""
+    _, _, m, start = _order_map(spark, d)
+    return clone.expand_map(m, 3, start).orderBy("old", "k").limit(20)
+
+
+@query
+def explain_missing_key(spark, d):
+    """An account that holdings name and the accounts lack, followed through every stage."""
+    c, x = _t(spark, d, "carteira_comitente", "conta")
+    lost = selection.missing_keys(c, "num_conta", x, "num_conta", "carteira_comitente")
+    key = lost.agg(F.min("VALOR")).first()[0] or ""
+    return preflight.explain_key(key, {"carteira": (c, "num_conta"), "carteira_ativa": (keys.active_null(c, "dat_exclusao"), "num_conta"), "conta": (x, "num_conta"), "faltantes": (lost, "VALOR")}, keys.norm_key)
+
+
+@query
+def observed_discriminators(spark, d):
+    """The kinds of instruments that come with each redemption schedule flag, and their codes' prefixes."""
+    (i,) = _t(spark, d, "instrumento_financeiro")
+    p = F.upper(F.substring(F.trim("cod_if"), 1, 3))
+    return i.where(F.coalesce(F.trim("cod_if"), F.lit("")) != "").groupBy("num_tipo_if").agg(F.concat_ws(",", F.sort_array(F.collect_set(p))).alias("prefixos"))  # as many as there are kinds
+
+
+@query
+def segment_flags(spark, d):
+    """Whether any holder of an instrument is a simplified one: sim, nao, or sem_carteira."""
+    i, c, e = _t(spark, d, "instrumento_financeiro", "carteira_comitente", "comitente")
+    flag = e.groupBy("num_id_entidade").agg(F.max(F.when(F.col("ind_comitente_simplificado") == "S", 1).otherwise(0)).alias("s"))
+    held = salted_join(c.select("num_if", "num_id_entidade", "num_carteira_comitente"), flag, ["num_id_entidade"], "left", ["num_carteira_comitente"])
+    per = held.groupBy("num_if").agg(F.max("s").alias("s"))
+    return i.select("num_if").distinct().join(per.withColumn("__c", F.lit(True)), "num_if", "left").select("num_if", F.when(F.col("__c").isNull(), "sem_carteira").when(F.col("s") == 1, "sim").when(F.col("s") == 0, "nao").otherwise("desconhecido").alias("segmento"))

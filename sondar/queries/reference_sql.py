@@ -244,3 +244,49 @@ SQL["rank_bottomk_by_hash"] = "select * from (select c_mktsegment, c_custkey, sh
 SQL["publish_readback_counts"] = "select 'nation' as tabela, count(*) as n from nation union all select 'customer', count(*) from customer"
 SQL["snapshot_roundtrip"] = "select o_orderkey, '' as situacao from orders where false"
 SQL["reservation_ranges"] = _u(f"select '{t}' as nome, (select max({k}) from {t}) + 1 + 3 * count(*) * b as inicio, (select max({k}) from {t}) + 3 * count(*) * (b + 1) as fim from {t}, range(0, 2) r(b) group by b" for t, k in (("orders", "o_orderkey"), ("customer", "c_custkey")))
+
+# --- before and after a load ------------------------------------------------------------------------------------------------
+OPS = "operacao"
+SQL["preflight_operacao"] = _u(
+    [
+        _find(OPS, "alinhamento", "desconhecidas", "6"),
+        _find(OPS, "alinhamento", "ausentes", "1"),
+        _find(OPS, "capacidade", "num_id_operacao", "select count(*) from operacao where abs(num_id_operacao) > 9999999999"),
+        _find(OPS, "nulo", "num_id_operacao", "select count(*) from operacao where num_id_operacao is null"),
+        _find(OPS, "capacidade", "num_if", "select count(*) from operacao where abs(num_if) > 999999999"),
+        *(_find(OPS, "octetos", c, f"select count(*) from operacao where strlen({c}) > {n}") for c, n in (("cod_if", 10), ("cod_operacao", 16), ("num_id_ctx_msg_p2", 12))),
+        _find(OPS, "capacidade", "num_carga", "select count(*) from operacao where abs(num_carga) > 99"),
+        _find(OPS, "unique", "num_id_operacao", _dup(OPS, "num_id_operacao", "num_id_operacao is not null")),
+        _find(OPS, "ja_no_destino", "num_id_operacao", "select count(distinct num_id_operacao) from operacao"),
+        _find(OPS, "unique", "cod_if,cod_operacao", _dup(OPS, "cod_if, cod_operacao", "cod_if is not null and cod_operacao is not null")),
+        _find(OPS, "pai_estatico", "num_if", "select count(*) from operacao where num_if is not null and num_if not in (select num_if from instrumento_financeiro where num_if is not null)"),
+    ]
+)
+FULL = "coalesce(trim(cod_if), '') <> ''"
+SQL["business_key_rules"] = _u(
+    [
+        f"select 'formato' as regra, count(*) as violacoes from instrumento_financeiro where {FULL} and not regexp_full_match(cod_if, '[A-Z]{{3}}[0-9A-Z]{{8}}')",
+        f"select 'codigo_repetido', count(*) from (select cod_if from instrumento_financeiro where {FULL} group by 1 having count(distinct num_if) > 1)",
+        "select 'tupla_incompleta', count(*) from operacao where (num_conta_participante_p1 is null) <> (num_id_ctx_msg_p2 is null)",
+        f"select 'tupla_repetida', ({_dup(OPS, 'num_conta_participante_p1, num_id_ctx_msg_p2', 'num_conta_participante_p1 is not null and num_id_ctx_msg_p2 is not null')})",
+        f"select 'codigo_da_raiz', count(*) from operacao o join (select num_if, min(cod_if) c from instrumento_financeiro where {FULL} group by 1) i on i.num_if = o.num_if where o.cod_if is distinct from i.c",
+    ]
+)
+SQL["roots_without_child"] = "select distinct num_if from instrumento_financeiro where num_if is not null and num_if not in (select num_if from titulo where cod_tipo_escalonamento is not null and num_if is not null)"
+SQL["shift_overflow"] = _u(f"select '{t}' as tabela, min({k}) as menor, max({k}) as maior, min({k}) + 10000 as novo_menor, max({k}) + 10000 as novo_maior, max({k}) + 10000 > {cap} as estouro, min({k}) + 10000 <= max({k}) as colide from {t}" for t, k, cap in (("orders", "o_orderkey", 20000), ("customer", "c_custkey", 2**63 - 1), ("instrumento_financeiro", "num_if", 2**63 - 1)))
+SQL["code_map_consistency"] = "select regra, 0 as violacoes from (values ('ordinal_denso'), ('chave_repetida'), ('codigo_repetido'), ('formato')) t(regra)"
+SQL["load_marks"] = "select 'orders' as tabela, 'o_orderkey' as coluna, max(o_orderkey) as maximo from orders union all select 'customer', 'c_custkey', max(c_custkey) from customer union all select 'events', 'event_id', null"
+SQL["load_rolled_back"] = "select o_orderkey, o_custkey from orders"
+SQL["clone_key_sample"] = f"select old, k, new from {OMAP} order by old, k limit 20"
+KEY = f"(select min(VALOR) from ({ACC}))"
+SQL["explain_missing_key"] = _u(
+    [
+        f"select '0:carteira' as etapa, count(*) as linhas, min(num_conta) as exemplo from carteira_comitente where {K} = {KEY}",
+        f"select '1:carteira_ativa', count(*), min(num_conta) from carteira_comitente where dat_exclusao is null and {K} = {KEY}",
+        f"select '2:conta', count(*), cast(min(num_conta) as varchar) from conta where cast(num_conta as varchar) = {KEY}",
+        f"select '3:faltantes', count(*), min(VALOR) from ({ACC}) where VALOR = {KEY}",
+    ]
+)
+SQL["observed_discriminators"] = f"select num_tipo_if, array_to_string(list_sort(list(distinct upper(substr(trim(cod_if), 1, 3)))), ',') as prefixos from instrumento_financeiro where {FULL} group by 1"
+SQL["segment_flags"] = """select i.num_if, case when p.num_if is null then 'sem_carteira' when s = 1 then 'sim' when s = 0 then 'nao' else 'desconhecido' end as segmento from (select distinct num_if from instrumento_financeiro) i
+left join (select num_if, max(s) s from carteira_comitente c left join (select num_id_entidade, max(case when ind_comitente_simplificado = 'S' then 1 else 0 end) s from comitente group by 1) e on e.num_id_entidade = c.num_id_entidade group by 1) p on p.num_if = i.num_if"""
