@@ -9,21 +9,22 @@ from .scratch import Scratch
 
 #: A side may be broadcast up to so many rows (narrow rows of keys and counts, some tens of MB).
 BROADCAST_ROWS = 200_000
-#: A key is hot from this share of the rows on: at most 1 / HOT_SHARE keys can be.
-HOT_SHARE = 1 / 64
-#: ... and from so many rows on, below which one task takes them with ease.
+#: A key is hot from so many rows on; below that one task takes them with ease.
 HOT_ROWS = 1_000_000
+#: So many of the hottest keys are salted: any other key has less than one in so many of the rows.
+HOT_KEYS = 256
 #: Parts into which a hot key's rows are spread.
 SALTS = 64
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """The keys of at least ``HOT_SHARE`` of the rows and ``hot_rows`` rows: at most 64, so they may go to the driver.
+    """The keys of at least ``hot_rows`` rows, the ``HOT_KEYS`` hottest of them: so few that they may go to the driver.
 
-    Rows are counted with map-side combine; NULL keys are no keys.
+    Rows are counted with map-side combine; NULL keys are no keys. A key beyond the list has less than 1 / HOT_KEYS of
+    the rows, which adaptive execution can still split.
     """
     counts = df.select(*on).where(" and ".join(f"`{c}` is not null" for c in on)).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    some = counts.where(F.col("__n") >= hot_rows).orderBy(F.desc("__n")).limit(int(1 / HOT_SHARE)).collect()
+    some = counts.where(F.col("__n") >= hot_rows).orderBy(F.desc("__n"), *on).limit(HOT_KEYS).collect()
     return [tuple(r[c] for c in on) for r in some]
 
 
@@ -37,6 +38,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spre
         hot = hot_keys(left, on)
 
     def is_hot() -> Column:
+        if len(on) == 1:
+            return F.coalesce(F.col(on[0]).isin([k for (k,) in hot]), F.lit(False)) if hot else F.lit(False)
         out = F.lit(False)
         for key in hot:
             same = F.lit(True)
