@@ -12,6 +12,9 @@ from .prefix import even_hash, running
 from .scratch import Scratch
 from .skew import SALTS, hot_keys
 
+#: A key with so many rows is hot here: its versions are paired beside the others.
+VERSION_ROWS = 20_000
+
 
 def normal(df: DataFrame, column: str, kind: str) -> Column:
     """A field in the form in which copies are compared, as text.
@@ -41,48 +44,54 @@ def kind_of(column: str, a: T.DataType, b: T.DataType) -> str:
     return "text"
 
 
-def _side(df: DataFrame, key: str, kinds: dict[str, str], side: str, scratch: Scratch) -> DataFrame:
-    """Distinct normalised rows of one side, numbered within their key (nearly always one).
-
-    Rows of a key that is hot are numbered in parts of a hash of the row; rows without a usable key meet none and need
-    no number.
-    """
+def _rows(df: DataFrame, key: str, kinds: dict[str, str], side: str) -> DataFrame:
+    """__key (NULL if it is no whole number), __raw (the key's text then) and the normalised fields as __left or __right."""
     fields = F.struct(*(normal(df, c, k).alias(c) for c, k in kinds.items()), F.lit(None).cast("string").alias("__"))
-    rows = df.select(whole_key(F.col(f"`{key}`")).alias("__key"), filled(F.col(f"`{key}`")).alias("__raw"), fields.alias(f"__{side}"))
-    rows = rows.select("__key", F.when(F.col("__key").isNull(), F.coalesce("__raw", F.lit(""))).alias("__raw"), f"__{side}").distinct()
-    none = rows.where(F.col("__key").isNull()).withColumn("__version", F.lit(1).cast("bigint"))
-    hot = [k for (k,) in hot_keys(df.select(whole_key(F.col(f"`{key}`")).alias("__key")), ["__key"])]
+    c = F.col(f"`{key}`")
+    return df.select(whole_key(c).alias("__key"), F.when(whole_key(c).isNull(), F.coalesce(filled(c), F.lit(""))).alias("__raw"), fields.alias(f"__{side}"))
+
+
+def _versions(rows: DataFrame, side: str) -> DataFrame:
+    """Distinct rows numbered within their key, all after one shuffle by the key, which the join then finds in place."""
     w = Window.partitionBy("__key").orderBy(f"__{side}")
-    few = rows.where(F.col("__key").isNotNull() & ~F.col("__key").isin(hot)).withColumn("__version", F.row_number().over(w).cast("bigint"))
-    out = few.unionByName(none)
-    if hot:
-        many = rows.where(F.col("__key").isin(hot)).withColumn("__h", even_hash(f"__{side}")).withColumn("__text", F.to_json(f"__{side}"))
-        numbered = running(many, ["__key"], "__h", ["__text"], F.lit(1).cast("bigint"), F.lit(SALTS), scratch, "__version")
-        out = out.unionByName(numbered.withColumn("__version", F.col("__version") + 1).drop("__h", "__text"))
-    return out
+    same = F.coalesce(F.lag("__one").over(w) & F.lag(f"__{side}").over(w).eqNullSafe(F.col(f"__{side}")), F.lit(False))
+    seen = rows.withColumn("__one", F.lit(True)).withColumn("__new", ~same)
+    number = F.sum(F.col("__new").cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return seen.withColumn("__version", number).where("__new").select("__key", "__version", f"__{side}")
+
+
+def _hot_versions(rows: DataFrame, side: str, scratch: Scratch) -> DataFrame:
+    """The same for hot keys: repeats are combined before the shuffle, rows are numbered in parts by a hash of them."""
+    many = rows.select("__key", f"__{side}").distinct().withColumn("__h", even_hash(f"__{side}")).withColumn("__text", F.to_json(f"__{side}"))
+    numbered = running(many, ["__key"], "__h", ["__text"], F.lit(1).cast("bigint"), F.lit(SALTS), scratch, "__version")
+    return numbered.select("__key", (F.col("__version") + 1).alias("__version"), f"__{side}")
 
 
 def differences(left: DataFrame, right: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """One row a key and version: chave, versao, situacao (so_origem, so_destino, valor, igual) and difs, an array of (campo, esquerda, direita).
 
-    All columns that both sides have, but for the key, are compared in normal form. Repeated rows count once. A key with
-    several different rows on a side is compared version by version, in the order of their values (of a hash of them if the
-    key is hot); a version too many
-    differs from nothing in every field that it fills. A key that is no whole number matches nothing and is reported
-    with chave NULL. An empty side leaves every key of the other one-sided.
+    All columns that both sides have, but for the key, are compared in normal form (NaN counts as NULL). Repeated rows
+    count once. A key with several different rows on a side is compared version by version, in the order of their values
+    (of a hash of them if the key is hot); a version too many differs from nothing in every field that it fills. A key
+    that is no whole number matches nothing and is reported with chave NULL. An empty side leaves every key of the other
+    one-sided.
     """
     there = set(right.columns)
     kinds = {c: kind_of(c, left.schema[c].dataType, right.schema[c].dataType) for c in left.columns if c in there and c != key}
-    a, b = _side(left, key, kinds, "left", scratch), _side(right, key, kinds, "right", scratch)
-    left2, right2 = a.select("__key", "__version", "__left"), b.select("__key", "__version", "__right")
-    has = F.col("__key").isNotNull()
+    a, b = _rows(left, key, kinds, "left"), _rows(right, key, kinds, "right")
+    hot = sorted({k for df in (a, b) for (k,) in hot_keys(df.select("__key"), ["__key"], VERSION_ROWS)})
+    cold = F.col("__key").isNotNull() & ~F.col("__key").isin(hot)
+    # equality of versions is left to the join's condition, so that both sides stay where their key sent them
+    x, y = _versions(a.where(cold), "left").alias("x"), _versions(b.where(cold), "right").alias("y")
+    on = (F.col("x.__key") == F.col("y.__key")) & (F.col("x.__version") <= F.col("y.__version")) & (F.col("x.__version") >= F.col("y.__version"))
+    both = x.join(y, on, "full").select(F.coalesce("x.__key", "y.__key").alias("__key"), F.coalesce("x.__version", "y.__version").alias("__version"), "__left", "__right")
+    if hot:
+        many = F.col("__key").isin(hot)
+        both = both.unionByName(_hot_versions(a.where(many), "left", scratch).join(_hot_versions(b.where(many), "right", scratch), ["__key", "__version"], "full"))
     # rows without a key match nothing: they pass beside the join, which would send them all to one task
-    both = (
-        left2.where(has)
-        .join(right2.where(has), ["__key", "__version"], "full")
-        .unionByName(left2.where(~has), allowMissingColumns=True)
-        .unionByName(right2.where(~has), allowMissingColumns=True)
-    )
+    for df, side in ((a, "left"), (b, "right")):
+        none = df.where(F.col("__key").isNull()).distinct().select("__key", F.lit(1).cast("bigint").alias("__version"), f"__{side}")
+        both = both.unionByName(none, allowMissingColumns=True)
     pairs = F.array(*(F.struct(F.lit(c).alias("campo"), F.col("__left").getField(c).alias("esquerda"), F.col("__right").getField(c).alias("direita")) for c in kinds)) if kinds else F.array().cast("array<struct<campo:string,esquerda:string,direita:string>>")
     first = F.col("__version") == 1
     return both.select(

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from conftest import rows
 
-from sondar.operators import compare, skew
+from sondar.operators import compare
 
 A = "k bigint, nome string, sit int, val decimal(18,2), em timestamp_ntz, so_a string, campo string"
 B = "k string, nome string, sit int, val double, em timestamp_ntz, situacao string, campo string"
@@ -24,7 +24,7 @@ def test_versions_of_a_key(spark, scratch, monkeypatch):
     b = spark.createDataFrame([(1, x, 1) for x in "ab"] + [(2, "q", 1)], "k bigint, nome string, sit int")
     want = [("t", 1, "nome", "valor"), ("t", 1, "sit", "valor")]
     assert rows(compare.found(compare.differences(a, b, "k", scratch), "t")) == want
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (2,))
+    monkeypatch.setattr(compare, "VERSION_ROWS", 2)
     got = compare.differences(a, b, "k", scratch)
     assert got.count() == 4 and rows(compare.found(got, "t"))
     assert compare.found(compare.differences(a, a.repartition(7), "k", scratch), "t").collect() == []
