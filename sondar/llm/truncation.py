@@ -89,7 +89,7 @@ def prepared(documents: DataFrame) -> DataFrame:
     base = documents.select("doc_id", F.coalesce(F.lower(filled(F.col("source"))), F.lit("")).alias("source"), "text").where(filled(text).isNotNull())
     kept = base.withColumn("__end", F.rtrim(text, F.lit(OUTER))).withColumn("brancos", F.length(text) - F.length("__end"))
     sizes = F.struct(*(v.cast("int").alias(k) for k, v in lengths(text).items())).alias("tamanhos")
-    return kept.select("doc_id", "source", sizes, "brancos", *(c.alias(k) for k, c in endings(F.col("__end")).items()))
+    return kept.select("doc_id", "source", sizes, "brancos", F.xxhash64("__end").alias("impressao"), *(c.alias(k) for k, c in endings(F.col("__end")).items()))
 
 
 def endings(end: Column) -> dict[str, Column]:
@@ -180,13 +180,15 @@ def at_limit(docs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
 def usual_endings(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
     """source, final, textos: how a source's texts end that are at no limit, carry no mark and end in no sentence: closings, signatures, short notes.
 
-    What stops at a comma or behind an abbreviation is never usual. Endings usual in some source, with three texts or
+    Usual is what several different texts end in, or one text that came three times or more: a cut text that was sent
+    twice is no usual ending. What stops at a comma or behind an abbreviation is never usual. Endings usual in some source, with three texts or
     more, hold for texts of any source too (source '*'): a small source shows few of its own, an empty one none.
     """
     free = docs.where(~F.col("no_limite") & ~F.col("marca") & ~F.col("frase") & ~F.col("marcado") & ~F.col("final").rlike("[.,;:(]$"))
-    per = free.groupBy("source", "final").agg(F.count(F.lit(1)).alias("textos"))
+    each = free.groupBy("source", "final", "impressao").agg(F.count(F.lit(1)).alias("__n"))
+    per = each.groupBy("source", "final").agg(F.sum("__n").alias("textos"), F.count(F.lit(1)).alias("__d"))
     size = docs.groupBy("source").agg(F.count(F.lit(1)).alias("__all"))
-    common = per.where(F.col("source") != "").join(size, "source").where((F.col("textos") >= 2) & (F.col("textos") >= config.usual * F.col("__all"))).select("source", "final", "textos")
+    common = per.where(F.col("source") != "").join(size, "source").where(((F.col("__d") >= 2) | (F.col("textos") >= 3)) & (F.col("textos") >= config.usual * F.col("__all"))).select("source", "final", "textos")
     anywhere = common.where(F.col("textos") >= 3).groupBy("final").agg(F.sum("textos").alias("textos")).select(F.lit("*").alias("source"), "final", "textos")
     return common.unionByName(anywhere)
 

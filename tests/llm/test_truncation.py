@@ -81,6 +81,12 @@ def test_endings(spark, scratch):
     assert [(t, got[i]) for i, (t, _) in enumerate(ENDINGS)] == ENDINGS
 
 
+def test_a_cut_text_sent_again_is_no_usual_ending(spark, scratch):
+    rows = [(i, "Outra frase, a de número %d." % i, "f") for i in range(20)] + [(100 + i, "A carteira apresentou posição de R$ 10", "f") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {r.doc_id for r in truncation.judged(df, scratch).where("cortado").collect()} == {100, 101}
+
+
 def test_odd_cases(spark, scratch):
     assert truncation.judged(spark.createDataFrame([], "doc_id bigint, text string, source string"), scratch).collect() == []
     rows = [(1, None, "f", 1), (2, "", "f", 1), (3, "   ", "f", 1), (4, "x." * 400_000, None, 1), (5, "Igual.", "f", 1), (6, "Igual.", "f", 1), (7, "palavra solta", "  ", 1)]
