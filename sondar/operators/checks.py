@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.catalog import TableSchema, TableSpec
+from .stats import beside
 
 FINDING = "tabela string, verificacao string, colunas string, violacoes bigint"
 
@@ -113,7 +114,7 @@ def one_pass_profile(df: DataFrame, keys: list[list[str]] = []) -> DataFrame:
     for k in keys:
         d = df.where(_all_null_free(k)).select(*k).distinct().agg(F.count(F.lit(1)).alias("d"))
         n = df.agg(total.alias("total"), F.count_if(~_all_null_free(k)).alias("nulos"))
-        out = out.unionByName(n.crossJoin(d).select(F.lit("+".join(k)).alias("coluna"), "total", "nulos", F.lit(None).cast("string").alias("minimo"), F.lit(None).cast("string").alias("maximo"), F.lit(None).cast("int").alias("octetos"), F.col("d").alias("distintos")))  # one row each
+        out = out.unionByName(beside(n, d).select(F.lit("+".join(k)).alias("coluna"), "total", "nulos", F.lit(None).cast("string").alias("minimo"), F.lit(None).cast("string").alias("maximo"), F.lit(None).cast("int").alias("octetos"), F.col("d").alias("distintos")))
     return out
 
 
@@ -145,6 +146,6 @@ def clone_report(source: DataFrame, clones: DataFrame, pk: str, factor: int, sta
     nulls = F.count_if(reduce(lambda a, b: a | b, (F.col(c).isNull() for c in not_null))) if not_null else F.lit(0)
     got = clones.agg(F.count(F.lit(1)).alias("rows"), F.min(pk).cast("bigint").alias("least"), nulls.cast("bigint").alias("nulls"))
     distinct = clones.select(pk).distinct().agg(F.count(F.lit(1)).alias("keys"))
-    one = n.crossJoin(got).crossJoin(distinct)  # one row each
+    one = beside(n, got, distinct)
     rows = [("linhas", F.col("n"), F.col("rows")), ("chaves_distintas", F.col("n"), F.col("keys")), ("menor_chave", F.lit(start).cast("bigint"), F.col("least")), ("nulos", F.lit(0).cast("bigint"), F.col("nulls"))]
     return one.select(F.inline(F.array(*(F.struct(F.lit(r).alias("regra"), a.cast("bigint").alias("esperado"), b.cast("bigint").alias("obtido")) for r, a, b in rows))))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import checks
 from .keys import effective_null
+from .stats import beside
 
 
 @dataclass(frozen=True)
@@ -94,9 +95,7 @@ def shift_report(frames: Mapping[str, tuple[DataFrame, str]], offset: int, capac
 def ordinal_consistency(df: DataFrame, ordinal: str, key: str, code: str, pattern: str, start: int) -> DataFrame:
     """regra, violacoes of a code map: ordinals dense from ``start``, keys and codes distinct, codes of the pattern. Distinct counts are aggregated one by one."""
     n = df.agg(F.count(F.lit(1)).alias("n"), F.min(ordinal).alias("a"), F.max(ordinal).alias("b"), F.count_if(~F.coalesce(F.col(code).rlike(pattern), F.lit(False))).alias("bad"))
-    d = n
-    for i, c in enumerate((ordinal, key, code)):
-        d = d.crossJoin(df.select(c).distinct().agg(F.count(c).alias(f"d{i}")))  # one row each
+    d = beside(n, *(df.select(c).distinct().agg(F.count(c).alias(f"d{i}")) for i, c in enumerate((ordinal, key, code))))
     gaps = F.when(F.col("n") == 0, 0).otherwise(F.abs(F.col("a") - start) + F.abs(F.col("b") - (F.lit(start) + F.col("n") - 1)))
     rules = [("ordinal_denso", gaps + F.col("n") - F.col("d0")), ("chave_repetida", F.col("n") - F.col("d1")), ("codigo_repetido", F.col("n") - F.col("d2")), ("formato", F.col("bad"))]
     return d.select(F.inline(F.array(*(F.struct(F.lit(r).alias("regra"), v.cast("bigint").alias("violacoes")) for r, v in rules))))

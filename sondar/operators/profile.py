@@ -130,8 +130,8 @@ def load_cases(counts: DataFrame, rule: Rule, nulls: float = 0.15, mix: float =
         F.max(F.when(~F.col("grupo").isin("", "?"), n)).alias("__top"),
         F.sum(F.when(~F.col("grupo").isin("", "?"), n)).alias("__formed"),
     )
-    mid = per.agg(F.median("__empty").alias("__mid"))
-    out = per.crossJoin(F.broadcast(mid)).where(F.abs(F.col("__empty") - F.col("__mid")) > nulls).select("num_carga", F.lit("nulos").alias("achado"))  # one row on the right
+    mid = per.withColumn("__mid", F.median("__empty").over(Window.partitionBy(F.lit(0))))  # a row a load
+    out = mid.where(F.abs(F.col("__empty") - F.col("__mid")) > nulls).select("num_carga", F.lit("nulos").alias("achado"))
     if rule.codes:
         far = divergence(counts.where(~F.col("grupo").isin("", "?"))).where(F.col("divergencia") > mix)
         return out.unionByName(far.select("num_carga", F.lit("distribuicao").alias("achado")))

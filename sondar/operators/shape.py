@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -45,11 +47,11 @@ def distribution(counts_: DataFrame, root: str, names: list[str], sample: int =
     from pyspark.sql.window import Window
 
     sig = counts_.select(root, signature(names).alias("assinatura"))
-    n = sig.groupBy("assinatura").agg(F.count(F.lit(1)).alias("n"))
+    n = Scratch(counts_.sparkSession, "shape").keep(sig.groupBy("assinatura").agg(F.count(F.lit(1)).alias("n")))
+    total = n.agg(F.sum("n")).first()[0]
     few = sig.withColumn("__r", F.row_number().over(Window.partitionBy("assinatura").orderBy(root))).where(F.col("__r") <= sample)
     ex = few.groupBy("assinatura").agg(F.concat_ws(",", F.sort_array(F.collect_list(root)).cast("array<string>")).alias("exemplos"))
-    total = n.agg(F.sum("n").alias("__t"))
-    return n.join(ex, "assinatura").crossJoin(F.broadcast(total)).select("assinatura", "n", (F.col("n") / F.col("__t")).alias("parte"), "exemplos")  # one total
+    return n.join(ex, "assinatura").select("assinatura", "n", (F.col("n") / F.lit(total)).alias("parte"), "exemplos")
 
 
 def marginals(counts_: DataFrame, names: list[str]) -> DataFrame:

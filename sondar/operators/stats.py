@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def beside(*frames: DataFrame) -> DataFrame:
+    """Frames of one row each as one row with all their columns: stacked, then the one value of each column is taken. No cross join."""
+    columns = [c for df in frames for c in df.columns]
+    tall = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return tall.agg(*(F.max(c).alias(c) for c in columns))
+
+
 def summary(df: DataFrame, columns: list[str], percentiles: tuple[float, ...] = ()) -> DataFrame:
     """coluna, n, nulos, minimo, maximo, media, desvio, and p<q> of approximate percentiles; NaN counts as NULL. One scan."""
     num = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
@@ -35,7 +42,7 @@ def coverage(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
         v = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
         return df.agg(*(x for i, c in enumerate(v) for x in (F.min(c).alias(f"{side}lo{i}"), F.max(c).alias(f"{side}hi{i}"))))
 
-    one = ends(a, "a").crossJoin(ends(b, "b"))  # one row each
+    one = beside(ends(a, "a"), ends(b, "b"))
     part = lambda i: F.try_divide(F.greatest(F.least(F.col(f"ahi{i}"), F.col(f"bhi{i}")) - F.greatest(F.col(f"alo{i}"), F.col(f"blo{i}")), F.lit(0.0)), F.col(f"ahi{i}") - F.col(f"alo{i}"))
     return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("coluna"), part(i).alias("cobertura")) for i, c in enumerate(columns)))))
 
