@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import filled
 from ..operators.prefix import PART_ROWS, even_hash, running
@@ -146,5 +147,5 @@ def report(chosen: DataFrame, sources: list[Source], mix: Mixture) -> DataFrame:
     used = uses.groupBy("source").agg(F.sum("t").alias("tokens_usados"), F.count(F.lit(1)).alias("documentos_usados"), F.max("u").alias("usos_maximos"))
     plan = spark.createDataFrame([(s.name, s.weight, s.limit, s.docs, s.tokens, mix.share.get(s.name, 0.0), mix.exponent) for s in sources], "source string, peso_alvo double, max_repeticoes int, documentos bigint, tokens_disponiveis bigint, peso_misturado double, expoente double")
     out = plan.join(used, "source", "left").na.fill(0, ["tokens_usados", "documentos_usados", "usos_maximos"])
-    total = used.agg(F.sum("tokens_usados").alias("__t"))
-    return out.crossJoin(F.broadcast(total)).withColumn("parte_alcancada", F.coalesce(F.try_divide(F.col("tokens_usados"), F.col("__t")), F.lit(0.0))).drop("__t")  # a row a source, one total
+    total = F.sum("tokens_usados").over(Window.partitionBy(F.lit(0)))  # a row a source with a target
+    return out.withColumn("parte_alcancada", F.coalesce(F.try_divide(F.col("tokens_usados"), total), F.lit(0.0)))
