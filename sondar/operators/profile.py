@@ -7,6 +7,7 @@ domains and formats narrow the dominant masks to legal ones; a value whose mask
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -167,12 +168,14 @@ def long_values(df: DataFrame, load: str) -> DataFrame:
     return rows.select(F.col(load).cast("int").alias("num_carga"), F.explode(each).alias("__e")).select("num_carga", "__e.coluna", "__e.valor")
 
 
-def mask_counts(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
+def mask_counts(df: DataFrame, config: ProfileConfig = ProfileConfig(), form: Callable[[Column], Column] = run_mask) -> DataFrame:
     """coluna, num_carga, mascara, n, exemplo (least value): mask counts of every column and load; NULL mask = empty.
 
-    Masks have their runs shortened, so long texts have short ones. Combined before the shuffle.
+    ``form``: ``run_mask`` shortens the runs of every value, so long texts have short masks, but values that differ only
+    in length or in how they fall into words share one; ``mask`` keeps both apart, and its masks are as long as the
+    values. Combined before the shuffle.
     """
-    v = long_values(df, config.load).withColumn("mascara", run_mask(F.col("valor")))
+    v = long_values(df, config.load).withColumn("mascara", form(F.col("valor")))
     return v.groupBy("coluna", "num_carga", "mascara").agg(F.count(F.lit(1)).alias("n"), F.min("valor").alias("exemplo"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import mask
 from ..operators import compare, hierarchy, profile, references, sampling
 from ..operators.scratch import Scratch
 from ..sources.tables import table
@@ -56,6 +57,22 @@ def p1_divergencia(spark: SparkSession, d: str) -> DataFrame:
     return _each(spark, d, lambda df: profile.mask_divergence(scratch.keep(profile.mask_counts(df)))).withColumn("divergencia", F.round("divergencia", 9))
 
 
+def p1_padroes_exatos(spark: SparkSession, d: str) -> DataFrame:
+    """p1_padroes on exact masks: length and division into words count."""
+    scratch = Scratch(spark, "p1")
+    return _each(spark, d, lambda df: profile.patterns(scratch.keep(profile.mask_counts(df, form=mask))))
+
+
+def p1_mascaras_raras_exatas(spark: SparkSession, d: str) -> DataFrame:
+    scratch = Scratch(spark, "p1")
+    return _each(spark, d, lambda df: profile.rare(scratch.keep(profile.mask_counts(df, form=mask))))
+
+
+def p1_divergencia_exata(spark: SparkSession, d: str) -> DataFrame:
+    scratch = Scratch(spark, "p1")
+    return _each(spark, d, lambda df: profile.mask_divergence(scratch.keep(profile.mask_counts(df, form=mask)))).withColumn("divergencia", F.round("divergencia", 9))
+
+
 def p2_amostra(spark: SparkSession, d: str) -> DataFrame:
     df = table(spark, d, "instrumento_financeiro")
     return sampling.stable_sample(df, "num_if", "num_tipo_if", "num_carga", sampling.SampleConfig()).withColumnRenamed("chave", "num_if")
@@ -138,4 +155,4 @@ def p5_resumo(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_perfil, p1_padroes, p1_mascaras_raras, p1_divergencia, p2_amostra, p2_limiares, p3_found, p3_periodos, p3_contagens, p4_found, p4_caminhos, p4_descendentes, p4_circulos, p5_found, p5_diferencas, p5_resumo)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_perfil, p1_padroes, p1_mascaras_raras, p1_divergencia, p1_padroes_exatos, p1_mascaras_raras_exatas, p1_divergencia_exata, p2_amostra, p2_limiares, p3_found, p3_periodos, p3_contagens, p4_found, p4_caminhos, p4_descendentes, p4_circulos, p5_found, p5_diferencas, p5_resumo)}

@@ -2,6 +2,7 @@ import datetime as dt
 
 from conftest import rows
 
+from sondar.functions.text import mask
 from sondar.operators import profile
 from sondar.operators.profile import Rule
 
@@ -77,3 +78,15 @@ def test_rare_masks(spark, scratch):
     counts = scratch.keep(profile.mask_counts(df))
     rare = [(r.coluna, r.num_carga, r.mascara, r.n, r.exemplo) for r in profile.rare(counts).where("coluna = 'c'").collect()]
     assert rare == [("c", 2, "a-a", 1, "x-y")]
+
+
+def test_exact_masks_tell_lengths_and_words_apart(spark, scratch):
+    data = [(i, "COM TABELA", 1 + i % 2) for i in range(300)] + [(1000, "COM TABEL", 2), (1001, "CO MTABELA", 2), (1002, "COMTABELA", 1), (1003, "ção " * 20_000, 1)]
+    df = spark.createDataFrame(data, "k int, c string, num_carga int")
+    counts = scratch.keep(profile.mask_counts(df, form=mask))
+    rare = {(r.num_carga, r.mascara, r.n, r.exemplo) for r in profile.rare(counts).where("coluna = 'c'").collect()}
+    assert rare == {(2, "AAA AAAAA", 1, "COM TABEL"), (2, "AA AAAAAAA", 1, "CO MTABELA"), (1, "AAAAAAAAA", 1, "COMTABELA"), (1, " ".join(["aaa"] * 20_000), 1, " ".join(["ção"] * 20_000))}
+    assert {r.mascara for r in profile.patterns(counts).where("coluna = 'c' and dominante").collect()} == {"AAA AAAAAA"}
+    d = {r.num_carga: r.divergencia for r in profile.mask_divergence(counts).where("coluna = 'c'").collect()}
+    # by hand: 150 of 152 values in each load have the common mask, 300 of 304 in all; each rare one is 1 of 152 in its own load, 1 of 304 in all
+    assert all(abs(d[g] - 2 / 304) < 1e-9 for g in (1, 2))
