@@ -36,7 +36,8 @@ MARKS = r"(\.\.\.|…|\(\.\.\.\)|\[\.\.\.\]|\(…\)|\[…\]|\x{FFFD}|\((?i:conti
 class TruncationConfig:
     """heap: a length is a limit if so many times as many texts have it as the lengths around it have at most, and it has at least ``least`` texts and ``share`` of the source's.
 
-    usual: an ending is usual in its source from this share of its texts on (and from two texts on).
+    usual: an ending is usual in its source from this share of its different texts on (and from two different texts on).
+    note: a note that is a single text is known as such if it came so often or more, beside its other signs.
     """
 
     heap: float = 4.0
@@ -44,6 +45,7 @@ class TruncationConfig:
     share: float = 0.003
     around: int = 8
     usual: float = 0.001
+    note: int = 3
 
 
 def _count(text: Column, *signs: str) -> Column:
@@ -97,7 +99,8 @@ def endings(end: Column) -> dict[str, Column]:
 
     marca: a mark of a break; frase: a full stop, question or exclamation mark, but not behind an abbreviation, inside
     an open bracket or inside a tag; raiz: the closing tag of the root element; final: the last four words of what
-    follows the last end of a sentence or line, with figures and codes generalised.
+    follows the last end of a sentence or line, with figures and codes generalised; nota: a hash of the whole text in this
+    form, NULL if a sentence or line comes before its last one; curta: whether such a text is no longer than ``final``.
     """
     abbreviation = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
     line = F.substring_index(end, "\n", -1)
@@ -117,6 +120,7 @@ def endings(end: Column) -> dict[str, Column]:
     open_ = F.length(F.regexp_replace(line, r"[^(]", "")) > F.length(F.regexp_replace(line, r"[^)]", ""))
     start = F.ltrim(end, F.lit(BLANKS))
     markup = F.startswith(start, F.lit("<"))
+    alone = F.ltrim(segment, F.lit(BLANKS)) == start
     root = F.when(markup, F.regexp_extract(start, r"^<([\p{L}_][^\s>/]*)", 1))
     return {
         "marca": line.rlike(MARKS),
@@ -124,6 +128,8 @@ def endings(end: Column) -> dict[str, Column]:
         "marcado": markup,
         "raiz": F.coalesce((root != "") & F.endswith(end, F.concat(F.lit("</"), root, F.lit(">"))), F.lit(False)),
         "final": tail,
+        "nota": F.when(alone, F.xxhash64(F.ltrim(t, F.lit(BLANKS)))),
+        "curta": alone & (tail == F.ltrim(t, F.lit(BLANKS))),
     }
 
 
@@ -177,27 +183,42 @@ def at_limit(docs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     return joined.withColumn("no_limite", F.coalesce(F.arrays_overlap(mine, F.col("__limits")), F.lit(False)) & (F.col("brancos") <= 1)).drop("__limits")
 
 
+def _free(docs: DataFrame) -> DataFrame:
+    """source, final, nota, curta, impressao, copias of the different texts that are at no limit, carry no mark and end in no sentence, comma or abbreviation."""
+    free = docs.where(~F.col("no_limite") & ~F.col("marca") & ~F.col("frase") & ~F.col("marcado") & ~F.col("final").rlike("[.,;:(]$"))
+    return free.groupBy("source", "final", "nota", "curta", "impressao").agg(F.count(F.lit(1)).alias("copias"))
+
+
 def usual_endings(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
-    """source, final, textos: how a source's texts end that are at no limit, carry no mark and end in no sentence: closings, signatures, short notes.
+    """source, final, textos (different ones): how a source's texts end that are at no limit, carry no mark and end in no sentence: closings, signatures, short notes.
 
-    Usual is what several different texts end in, or one text that came three times or more: a cut text that was sent
-    twice is no usual ending. What stops at a comma or behind an abbreviation is never usual. Endings usual in some source, with three texts or
+    Usual is what several different texts end in: a cut text is no usual ending, however often it was sent. What stops
+    at a comma or behind an abbreviation is never usual. Endings usual in some source, with three different texts or
     more, hold for texts of any source too (source '*'): a small source shows few of its own, an empty one none.
     """
-    free = docs.where(~F.col("no_limite") & ~F.col("marca") & ~F.col("frase") & ~F.col("marcado") & ~F.col("final").rlike("[.,;:(]$"))
-    each = free.groupBy("source", "final", "impressao").agg(F.count(F.lit(1)).alias("__n"))
-    per = each.groupBy("source", "final").agg(F.sum("__n").alias("textos"), F.count(F.lit(1)).alias("__d"))
-    size = docs.groupBy("source").agg(F.count(F.lit(1)).alias("__all"))
-    common = per.where(F.col("source") != "").join(size, "source").where(((F.col("__d") >= 2) | (F.col("textos") >= 3)) & (F.col("textos") >= config.usual * F.col("__all"))).select("source", "final", "textos")
+    per = _free(docs).groupBy("source", "final").agg(F.count(F.lit(1)).alias("textos"))
+    size = docs.groupBy("source", "impressao").agg(F.lit(1).alias("__one")).groupBy("source").agg(F.count(F.lit(1)).alias("__all"))
+    common = per.where(F.col("source") != "").join(size, "source").where((F.col("textos") >= 2) & (F.col("textos") >= config.usual * F.col("__all"))).select("source", "final", "textos")
     anywhere = common.where(F.col("textos") >= 3).groupBy("final").agg(F.sum("textos").alias("textos")).select(F.lit("*").alias("source"), "final", "textos")
     return common.unionByName(anywhere)
 
 
+def notes(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
+    """nota: whole texts without a sentence that came ``note`` times or more in a source and either came from several sources or are four words at most.
+
+    The ending of such a note may be seen in no other text. It holds for this text alone, not for others that end alike.
+    A text of so few words that was cut, and sent so often, looks the same and passes for a note.
+    """
+    per = _free(docs).where((F.col("source") != "") & F.col("nota").isNotNull()).groupBy("source", "nota").agg(F.sum("copias").alias("__n"), F.max("curta").alias("curta"))
+    each = per.groupBy("nota").agg(F.max("__n").alias("__most"), F.count(F.lit(1)).alias("__in"), F.max("curta").alias("curta"))
+    return each.where((F.col("__most") >= config.note) & (F.col("curta") | (F.col("__in") >= 2))).select("nota")
+
+
 def judged(documents: DataFrame, scratch: Scratch, config: TruncationConfig = TruncationConfig()) -> DataFrame:
     """doc_id, source, cortado, no_limite, marca of every text that isn't empty.
 
     cortado: the text carries a mark of a break, or ends neither with its root's closing tag, nor in a sentence, nor in
-    a way usual for its source. Empty texts are no cases and are left out; trailing blanks mean nothing. The same text
+    a way usual for its source, nor is it a known note. Empty texts are no cases and are left out; trailing blanks mean nothing. The same text
     under two ids is two texts. No documents, no rows.
     """
     docs = scratch.keep(prepared(documents))
@@ -206,8 +227,9 @@ def judged(documents: DataFrame, scratch: Scratch, config: TruncationConfig = Tr
     # one row an ending: the sources in which it is usual
     usual = usual.groupBy("final").agg(F.collect_set("source").alias("__in"))
     joined = sized_join(docs, usual, ["final"], "left", ["doc_id"], scratch)
+    joined = sized_join(joined, notes(docs, config).withColumn("__note", F.lit(True)), ["nota"], "left", ["doc_id"], scratch)
     usual_here = F.array_contains("__in", "*") | F.array_contains("__in", F.col("source"))
-    whole = F.when(F.col("marcado"), F.col("raiz")).otherwise(F.col("frase") | F.coalesce(usual_here, F.lit(False)))
+    whole = F.when(F.col("marcado"), F.col("raiz")).otherwise(F.col("frase") | F.coalesce(usual_here, F.lit(False)) | F.coalesce("__note", F.lit(False)))
     return joined.select("doc_id", "source", (F.col("marca") | ~whole).alias("cortado"), "no_limite", "marca")
 
 

@@ -87,6 +87,17 @@ def test_a_cut_text_sent_again_is_no_usual_ending(spark, scratch):
     assert {r.doc_id for r in truncation.judged(df, scratch).where("cortado").collect()} == {100, 101}
 
 
+def test_copies_of_a_cut_text_make_no_usual_ending(spark, scratch):
+    cut = "A carteira do participante apresentou posição de R$ 10"
+    rows = [(i, "Outra frase, a de número %d." % i, "f") for i in range(20)] + [(100 + i, cut, "f") for i in range(30)]
+    rows += [(200, "Conforme ofício, apresentou posição de R$ 25", "g"), (201, "Uma frase. Também apresentou posição de R$ 7", "h")]
+    # a note of one text is known by its few words or by coming from several sources; this holds for the note alone
+    rows += [(300 + i, "Sem tabela de resgate", "f") for i in range(3)] + [(310, "Esta operação segue sem tabela de resgate", "g")]
+    rows += [(320 + i, "Escalonamento por período, taxa única no vencimento", "f") for i in range(3)] + [(330, "ESCALONAMENTO POR PERÍODO, TAXA ÚNICA NO VENCIMENTO", "k")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {r.doc_id for r in truncation.judged(df, scratch).where("cortado").collect()} == {*range(100, 130), 200, 201, 310}
+
+
 def test_odd_cases(spark, scratch):
     assert truncation.judged(spark.createDataFrame([], "doc_id bigint, text string, source string"), scratch).collect() == []
     rows = [(1, None, "f", 1), (2, "", "f", 1), (3, "   ", "f", 1), (4, "x." * 400_000, None, 1), (5, "Igual.", "f", 1), (6, "Igual.", "f", 1), (7, "palavra solta", "  ", 1)]
