@@ -134,17 +134,22 @@ def endings(end: Column) -> dict[str, Column]:
 
 
 def _exploded(docs: DataFrame, ways: list[str]) -> DataFrame:
-    """source, codificacao, n, k (texts of that length), finais: into how many of 64 classes their endings fall."""
-    each = F.array(*(F.struct(F.lit(w).alias("codificacao"), F.col(f"tamanhos.{w}").alias("n")) for w in ways))
+    """source, codificacao, n, k (different texts of that length), finais: into how many of 64 classes their endings fall.
+
+    Copies of a text count once, also if other blanks behind it give them other lengths in some way of counting.
+    """
     bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(final), 64) as int))")
-    long = docs.select("source", bit.alias("__b"), F.explode(each).alias("__e")).select("source", "__b", "__e.codificacao", "__e.n")
+    texts = docs.groupBy("source", "impressao", bit.alias("__b")).agg(F.collect_set("tamanhos").alias("__sizes"))
+    each = F.flatten(F.array(*(F.transform(F.array_distinct(F.transform("__sizes", lambda x: x[w])), lambda n: F.struct(F.lit(w).alias("codificacao"), n.alias("n"))) for w in ways)))  # noqa: B023 - called at once
+    long = texts.select("source", "__b", F.explode(each).alias("__e")).select("source", "__b", "__e.codificacao", "__e.n")
     return long.groupBy("source", "codificacao", "n").agg(F.count(F.lit(1)).alias("k"), F.bit_count(F.bit_or("__b")).alias("finais"))
 
 
 def limits(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
     """source, codificacao, limite, textos, vizinhos: the heaps of lengths, per source and way of counting.
 
-    Every source's lengths are counted under every way, combined before the shuffle. A heap stands out ``heap`` times
+    Every source's lengths are counted under every way; a text counts once, however often it was sent, in textos and
+    vizinhos too. A heap stands out ``heap`` times
     over the lengths within ``around`` of it. Counting in the field's own way heaps the texts on one length; any other
     way smears them, so the sharpest way of each limit tells how the field counts. A limit in bytes may heap a few bytes
     lower, where a sign would be split; texts there end like cut ones and are found by that. Texts cut at a limit end in
@@ -161,7 +166,7 @@ def limits(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> Da
 
 
 def block_limits(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
-    """source, codificacao, bloco, textos, esperados: lengths in bytes that are multiples of a transfer block more often than chance."""
+    """source, codificacao, bloco, textos (different ones), esperados: lengths in bytes that are multiples of a transfer block more often than chance."""
     ways = ["utf8", "crlf_utf8", "caracteres"]
     counts = _exploded(docs, ways)
     parts = []
@@ -171,16 +176,21 @@ def block_limits(docs: DataFrame, config: TruncationConfig = TruncationConfig())
     return reduce(DataFrame.unionByName, parts)
 
 
-def at_limit(docs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` with no_limite: whether the text's length, counted in some way, is a limit of its source and the text, not blanks, fills it.
+def at_limit(docs: DataFrame, found: DataFrame, blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with no_limite: whether the text's length, counted in some way, is a limit of its source or a multiple of a transfer block that shows there, and the text, not blanks, fills it.
 
-    ``found`` (as of ``limits``) has at most 1 / share rows a source and way; it is counted before it is broadcast.
+    ``found`` (as of ``limits``) has at most 1 / share rows a source and way, ``blocks`` (as of ``block_limits``) at most
+    three; what they come to is counted before it is broadcast.
     """
-    per = found.groupBy("source").agg(F.collect_set(F.struct("codificacao", F.col("limite").cast("int").alias("n"))).alias("__limits"))
+    at = F.struct("codificacao", F.col("n").cast("int").alias("n"))
+    both = found.select("source", "codificacao", F.col("limite").alias("n"), F.lit(False).alias("__block")).unionByName(blocks.select("source", "codificacao", F.col("bloco").alias("n"), F.lit(True).alias("__block")))
+    per = both.groupBy("source").agg(F.collect_set(F.when(~F.col("__block"), at)).alias("__limits"), F.collect_set(F.when(F.col("__block"), at)).alias("__blocks"))
     ways = list(docs.schema["tamanhos"].dataType.names)
     mine = F.array(*(F.struct(F.lit(w).alias("codificacao"), F.col(f"tamanhos.{w}").alias("n")) for w in ways))
     joined = sized_join(docs, per, ["source"], "left", ["doc_id"], scratch)
-    return joined.withColumn("no_limite", F.coalesce(F.arrays_overlap(mine, F.col("__limits")), F.lit(False)) & (F.col("brancos") <= 1)).drop("__limits")
+    block = F.exists("__blocks", lambda b: F.exists(mine, lambda m: (m["codificacao"] == b["codificacao"]) & (m["n"] > 0) & (m["n"] % b["n"] == 0)))
+    filled_ = F.coalesce(F.arrays_overlap(mine, F.col("__limits")), F.lit(False)) | F.coalesce(block, F.lit(False))
+    return joined.withColumn("no_limite", filled_ & (F.col("brancos") <= 1)).drop("__limits", "__blocks")
 
 
 def _free(docs: DataFrame) -> DataFrame:
@@ -222,7 +232,7 @@ def judged(documents: DataFrame, scratch: Scratch, config: TruncationConfig = Tr
     under two ids is two texts. No documents, no rows.
     """
     docs = scratch.keep(prepared(documents))
-    docs = scratch.keep(at_limit(docs, limits(docs, config), scratch))
+    docs = scratch.keep(at_limit(docs, limits(docs, config), block_limits(docs, config), scratch))
     usual = scratch.keep(usual_endings(docs, config))
     # one row an ending: the sources in which it is usual
     usual = usual.groupBy("final").agg(F.collect_set("source").alias("__in"))

@@ -98,6 +98,27 @@ def test_copies_of_a_cut_text_make_no_usual_ending(spark, scratch):
     assert {r.doc_id for r in truncation.judged(df, scratch).where("cortado").collect()} == {*range(100, 130), 200, 201, 310}
 
 
+def test_copies_beside_a_limit_do_not_hide_it(spark, scratch):
+    rng = random.Random(3)
+    long = [" ".join(sentence(rng) for _ in range(9)) for _ in range(60)]
+    rows = [(i, t[:255], "f") for i, t in enumerate(long)] + [(1000 + i, long[0][:250], "f") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {(r.codificacao, r.limite): r.textos for r in truncation.limits(truncation.prepared(df)).collect()}
+    assert got["caracteres", 255] == 60 and not any(w == "caracteres" and n != 255 for w, n in got)
+
+
+def test_texts_cut_at_a_transfer_block_give_no_usual_ending(spark, scratch):
+    rng = random.Random(5)
+    rows = [(i, sentence(rng), "f") for i in range(200)]
+    for i in range(12):  # of one length each, so that no length is a heap
+        n, end = 512 * (i + 1), " conforme item do manu"
+        rows.append((1000 + i, (" ".join(sentence(rng) for _ in range(120)))[: n - len(end)].encode("ascii", "replace").decode() + end, "f"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {r.bloco for r in truncation.block_limits(truncation.prepared(df)).collect()} >= {512}
+    got = {r.doc_id: (r.cortado, r.no_limite) for r in truncation.judged(df, scratch).collect()}
+    assert {i for i in got if got[i][0]} == {i for i in got if got[i][1]} == set(range(1000, 1012))
+
+
 def test_odd_cases(spark, scratch):
     assert truncation.judged(spark.createDataFrame([], "doc_id bigint, text string, source string"), scratch).collect() == []
     rows = [(1, None, "f", 1), (2, "", "f", 1), (3, "   ", "f", 1), (4, "x." * 400_000, None, 1), (5, "Igual.", "f", 1), (6, "Igual.", "f", 1), (7, "palavra solta", "  ", 1)]
