@@ -115,9 +115,9 @@ def intersections(values: DataFrame) -> DataFrame:
 
 
 def jaccard(values: DataFrame, pairs_: DataFrame, config: SimilarityConfig = SimilarityConfig()) -> DataFrame:
-    """PAIR, jaccard, igual: exact for pairs of sets within ``exact_limit``."""
-    few = (F.col("situacao") == "ok") & (F.col("rota_a") == "jaccard") & (F.greatest("distintos_a", "distintos_b") <= config.exact_limit)
-    both = pairs_.where(few).join(intersections(values), PAIR, "left").withColumn("comuns", F.coalesce("comuns", F.lit(0)))
+    """PAIR, comuns, jaccard, igual: exact, for pairs of sets of any size."""
+    ok = (F.col("situacao") == "ok") & (F.col("rota_a") == "jaccard")
+    both = pairs_.where(ok).join(intersections(values), PAIR, "left").withColumn("comuns", F.coalesce("comuns", F.lit(0)))
     j = F.col("comuns") / (F.col("distintos_a") + F.col("distintos_b") - F.col("comuns"))
     return both.select(*PAIR, "comuns", j.alias("jaccard"), (j >= config.jaccard_match).alias("igual"))
 

@@ -233,3 +233,10 @@ def test_rows_appended_with_database_expressions(spark):
 
     jdbc.append_computed(Local(), Connection, "t", {"b": "USER"}, batch=2)
     assert calls == [("INSERT INTO t (a, b) VALUES (?, USER)", [(1,), (2,)]), ("INSERT INTO t (a, b) VALUES (?, USER)", [(3,)])]
+
+
+def test_exact_jaccard_has_no_largest_set(spark, scratch):
+    f = {t: spark.createDataFrame([(f"v{i}",) for i in range(low, low + 300)], "s string") for t, low in (("t1", 0), ("t2", 100))}
+    v = scratch.keep(similarity.value_counts(f, similarity.plans(f)))
+    got = similarity.jaccard(v, similarity.pairs(similarity.profiles(v)), similarity.SimilarityConfig(exact_limit=100)).collect()
+    assert [(r.comuns, r.jaccard) for r in got] == [(200, 0.5)]
