@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import filled, whole_key
-from .prefix import even_hash, running
+from .prefix import ordinal
 from .scratch import Scratch
-from .skew import SALTS, hot_keys
+from .skew import hot_keys
 
 #: A key with so many rows is hot here: its versions are paired beside the others.
 VERSION_ROWS = 20_000
@@ -61,18 +61,19 @@ def _versions(rows: DataFrame, side: str) -> DataFrame:
 
 
 def _hot_versions(rows: DataFrame, side: str, scratch: Scratch) -> DataFrame:
-    """The same for hot keys: repeats are combined before the shuffle, rows are numbered in parts by a hash of them."""
-    many = rows.select("__key", f"__{side}").distinct().withColumn("__h", even_hash(f"__{side}")).withColumn("__text", F.to_json(f"__{side}"))
-    numbered = running(many, ["__key"], "__h", ["__text"], F.lit(1).cast("bigint"), F.lit(SALTS), scratch, "__version")
-    return numbered.select("__key", (F.col("__version") + 1).alias("__version"), f"__{side}")
+    """The same for hot keys: repeats are combined before the shuffle, rows are numbered in ranges of their sorted values."""
+    many = scratch.keep(ordinal(rows.select("__key", f"__{side}").distinct(), ["__key", f"__{side}"], "__at"))
+    first = many.groupBy("__key").agg(F.min("__at").alias("__first"))
+    # a row a hot key
+    return many.join(F.broadcast(first), "__key").select("__key", (F.col("__at") - F.col("__first") + 1).alias("__version"), f"__{side}")
 
 
 def differences(left: DataFrame, right: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """One row a key and version: chave, versao, situacao (so_origem, so_destino, valor, igual) and difs, an array of (campo, esquerda, direita).
 
     All columns that both sides have, but for the key, are compared in normal form (NaN counts as NULL). Repeated rows
-    count once. A key with several different rows on a side is compared version by version, in the order of their values
-    (of a hash of them if the key is hot); a version too many differs from nothing in every field that it fills. A key
+    count once. A key with several different rows on a side is compared version by version, in the order of their values;
+    a version too many differs from nothing in every field that it fills. A key
     that is no whole number matches nothing and is reported with chave NULL. An empty side leaves every key of the other
     one-sided.
     """

@@ -30,6 +30,15 @@ def test_versions_of_a_key(spark, scratch, monkeypatch):
     assert compare.found(compare.differences(a, a.repartition(7), "k", scratch), "t").collect() == []
 
 
+def test_versions_pair_alike_at_any_size(spark, scratch, monkeypatch):
+    a = spark.createDataFrame([(k, f"n{i:03}" if i else None, 1) for k in (1, 2) for i in range(60)], "k bigint, nome string, sit int")
+    b = spark.createDataFrame([(k, f"n{i:03}" if i else None, 1 if i < 59 else 2) for k in (1, 2) for i in range(60)], "k bigint, nome string, sit int")
+    want = rows(compare.differences(a, b, "k", scratch))
+    assert [r[:3] for r in want if r[2] != "igual"] == [(1, 60, "valor"), (2, 60, "valor")]
+    monkeypatch.setattr(compare, "VERSION_ROWS", 2)
+    assert rows(compare.differences(a.repartition(5), b.repartition(3), "k", scratch)) == want
+
+
 def test_empty_sides(spark, scratch):
     a = spark.createDataFrame([(1, "x")], "k bigint, nome string")
     assert rows(compare.found(compare.differences(a, a.limit(0), "k", scratch), "t")) == [("t", 1, "", "so_origem")]
