@@ -77,11 +77,14 @@ class _Stock:
         self.witness[gap] = (int(gap - low[best]), int(low[best]))
         return self.witness[gap]
 
-    def triple(self, gap: int, taken: dict[int, int], tries: int) -> tuple[int, ...] | None:
-        """Three lengths that add up to the gap: a length whose complement is a pair sum. Lengths most at hand first, up to ``tries`` of them."""
+    def triple(self, gap: int, taken: dict[int, int], tries: int | None = None) -> tuple[int, ...] | None:
+        """Three lengths that add up to the gap: a length whose complement is a pair sum. Lengths most at hand first; all of them, or up to ``tries``."""
         free = self._free(taken)
         some = np.flatnonzero(free[: max(gap - 1, 0)])
         some = some[some > 0]
+        # sums of two available lengths, by convolution; some of them need a length twice that is there once, so pair() decides
+        there = np.fft.rfft(free[: gap + 1] > 0, 2 * gap + 2)
+        some = some[np.fft.irfft(there * there, 2 * gap + 2)[gap - some] > 0.5]
         for x in some[np.argsort(-free[some], kind="stable")][:tries]:
             free[x] -= 1
             got = self.pair(int(gap - x), {}, free)
@@ -98,12 +101,12 @@ def _pile(lengths: list[int]) -> dict[int, int]:
     return out
 
 
-def plan(counts: dict[int, int], capacity: int, tries: int = 64) -> list[Make]:
+def plan(counts: dict[int, int], capacity: int) -> list[Make]:
     """Container makes for ``counts`` items of each length from 1 to ``capacity``. Every item is in exactly one container.
 
     Work and result are bounded by the capacity, not by the number of items: each step uses up a length, or sets it
-    aside. Ties go to the more plentiful length, then to the shorter one. ``tries``: lengths tried as the third of a
-    triple before the gap is narrowed by the largest item that fits. Where items are so few that exact containers leave
+    aside. Ties go to the more plentiful length, then to the shorter one. Every length is tried as the
+    third of a triple before the gap is narrowed by the largest item that fits. Where items are so few that exact containers leave
     more of the others open than they save, best fit alone is taken if that needs fewer containers.
     """
     stock = _Stock({k: v for k, v in counts.items() if k > 0 and v > 0}, capacity)
@@ -116,7 +119,7 @@ def plan(counts: dict[int, int], capacity: int, tries: int = 64) -> list[Make]:
         taken, gap = {length: 1}, capacity - length
         exact = gap == 0
         while gap and not exact:
-            rest = stock.single(gap, taken) or stock.pair(gap, taken) or stock.triple(gap, taken, tries)
+            rest = stock.single(gap, taken) or stock.pair(gap, taken) or stock.triple(gap, taken)
             if rest:
                 for x in rest:
                     taken[x] = taken.get(x, 0) + 1

@@ -105,3 +105,11 @@ def test_pack_empty(spark, scratch):
     assert out.collect() == [] and makes == []
     out, _ = packing.pack(spark.createDataFrame([(1, 0)], "doc_id bigint, tokens bigint"), "doc_id", 64, scratch)
     assert [tuple(r) for r in out.collect()] == [(1, 1, 0, 0, 0, 1)]
+
+
+def test_a_triple_is_found_behind_more_plentiful_lengths():
+    # 99 even lengths, no two of which fit and none of which makes the odd gap of 1001 with odd ones; the odd ones are rarest
+    counts = {n: 2 for n in range(504, 900, 4)} | {101: 1, 203: 1, 697: 1, 2000: 1}
+    makes = packing.plan(counts, 3001)
+    check(counts, 3001, makes)
+    assert packing.Make(((2000, 1), (697, 1), (203, 1), (101, 1)), 1) in makes
