@@ -176,11 +176,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Make]:
             if not open_[gap]:
                 del open_[gap]
                 gaps.pop(at)
-            k = min(left, times)
-            if times > k:
-                put(gap, items, times - k)
-            put(gap - length, items | {length: items.get(length, 0) + 1}, k)
-            left -= k
+            # the container just used has the least gap that holds the next item too, until it is full
+            each = gap // length
+            k = min(left // each, times)
+            left -= each * k
+            some = left if k < times else 0  # fewer than a container takes, for one more of them
+            left -= some
+            for n, many in ((each, k), (some, 1 if some else 0), (0, times - k - (1 if some else 0))):
+                if many:
+                    put(gap - n * length, items | ({length: items.get(length, 0) + n} if n else {}), many)
     return [Make(tuple(sorted(items.items(), reverse=True)), times) for gap in gaps for items, times in open_[gap]]
 
 
@@ -226,10 +230,12 @@ def pack(items: DataFrame, key: str, capacity: int, scratch: Scratch) -> tuple[D
     parts = parts.select(key, "parte", start.alias("token_de"), F.least(F.col("__all"), start + capacity).alias("token_ate")).withColumn("tokens", F.col("token_ate") - F.col("token_de"))
     counts = {r.tokens: r.n for r in parts.groupBy("tokens").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity + 1 rows
     makes = plan(counts, capacity)
-    many = {k: -(-v // PART_ROWS) for k, v in counts.items() if v > PART_ROWS}
-    cut = F.lit(1)
-    for length, k in many.items():
-        cut = F.when(F.col("tokens") == length, k).otherwise(cut)
+    many = [(k, -(-v // PART_ROWS)) for k, v in sorted(counts.items()) if v > PART_ROWS]
     hashed = parts.withColumn("__h", even_hash(F.col(key), F.col("parte")))
+    cut = F.lit(1)
+    if many:  # a row a plentiful length: at most capacity + 1 of them, which bounds the broadcast whatever the data
+        wide = items.sparkSession.createDataFrame(many, "tokens bigint, __cut bigint")
+        hashed = hashed.join(F.broadcast(wide), "tokens", "left")
+        cut = F.coalesce("__cut", F.lit(1))
     numbered = running(hashed, ["tokens"], "__h", [key, "parte"], F.lit(1), cut, scratch, "__n")
     return numbered.withColumn("num_container", _container(places(makes, capacity))).select(key, "parte", "token_de", "token_ate", "tokens", "num_container"), makes

@@ -43,6 +43,23 @@ def p6_resumo(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("cod_recipiente", "capacidade").agg(F.count(F.lit(1)).alias("containers"), F.ceil(F.sum("tokens") / F.first("capacidade")).alias("minimo"), F.sum("sobra").alias("sobra"), F.count_if(F.col("sobra") == 0).alias("cheios"))
 
 
+def p6_conferencia(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every packing, counted over all items and containers: every document placed, no container over its capacity, no gap or overlap in a divided text, none divided without need."""
+    out = None
+    for code, capacity, items, _ in _packed(spark, d):
+        per = items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("p"), F.sum("tokens").alias("t"), F.max("token_ate").alias("ate"), F.min("token_de").alias("de"))
+        docs = per.agg(
+            F.count(F.lit(1)).alias("documentos"),
+            F.count_if((F.col("de") != 0) | (F.col("t") != F.col("ate"))).alias("incompletos"),
+            F.count_if((F.col("p") > 1) & (F.col("t") <= capacity) | (F.col("p") != F.greatest(F.ceil(F.col("t") / capacity), F.lit(1)))).alias("divididos_sem_necessidade"),
+        )
+        boxes = items.groupBy("num_container").agg(F.sum("tokens").alias("t")).agg(F.count_if(F.col("t") > capacity).alias("acima_da_capacidade"), (F.max("num_container") - F.count(F.lit(1))).alias("numeros_vagos"))
+        one = F.lit(1).alias("__one")
+        part = docs.select("*", one).join(F.broadcast(boxes.select("*", one)), "__one").drop("__one").select(F.lit(code).alias("cod_recipiente"), "*")  # a row each
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _mixed(spark: SparkSession, d: str):
     scratch = Scratch(spark, "p7")
     docs = scratch.keep(mixing.usable(tokens.sized(table(spark, d, "documents"), "doc_id", "text", ["source"])))
@@ -79,5 +96,8 @@ def p8_limites(spark: SparkSession, d: str) -> DataFrame:
     return found.unionByName(blocks)
 
 
-QUERIES = {f.__name__: f for f in (p6_itens, p6_containers, p6_resumo, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_limites)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_limites)}
+SQL: dict[str, str] = {
+    # tokens can't be counted in SQL: what must hold of the result can
+    "p6_conferencia": "select distinct cod_recipiente, (select count(*) from documents) as documentos, 0 as incompletos, 0 as divididos_sem_necessidade, 0 as acima_da_capacidade, 0 as numeros_vagos from recipiente",
+}

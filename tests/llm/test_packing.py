@@ -113,3 +113,12 @@ def test_a_triple_is_found_behind_more_plentiful_lengths():
     makes = packing.plan(counts, 3001)
     check(counts, 3001, makes)
     assert packing.Make(((2000, 1), (697, 1), (203, 1), (101, 1)), 1) in makes
+
+
+def test_five_thousand_plentiful_lengths(spark, scratch, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 2)
+    df = spark.range(15_000).select(F.col("id").alias("doc_id"), (F.col("id") % 5000 + 1).alias("tokens"))
+    out, makes = packing.pack(df, "doc_id", 8192, scratch)
+    check({n: 3 for n in range(1, 5001)}, 8192, makes)
+    used = out.groupBy("num_container").agg(F.sum("tokens").alias("s"), F.count(F.lit(1)).alias("n")).agg(F.max("s").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("containers")).first()
+    assert used.most <= 8192 and used.n == 15_000 and used.containers == sum(m.times for m in makes)
