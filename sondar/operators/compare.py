@@ -10,10 +10,12 @@ from pyspark.sql.window import Window
 from ..functions.text import filled, whole_key
 from .prefix import ordinal
 from .scratch import Scratch
-from .skew import hot_keys
+from .skew import HOT_ROWS, hot_keys
 
-#: A key with so many rows is hot here: its versions are paired beside the others.
-VERSION_ROWS = 20_000
+#: A key with so many rows is hot: its versions are numbered in ranges of their values, not in one task.
+VERSION_ROWS = HOT_ROWS
+KEY = ("__key", "__raw")
+DIFS = "array<struct<campo:string,esquerda:string,direita:string>>"
 
 
 def normal(df: DataFrame, column: str, kind: str) -> Column:
@@ -44,75 +46,77 @@ def kind_of(column: str, a: T.DataType, b: T.DataType) -> str:
     return "text"
 
 
-def _rows(df: DataFrame, key: str, kinds: dict[str, str], side: str) -> DataFrame:
-    """__key (NULL if it is no whole number), __raw (the key's text then) and the normalised fields as __left or __right."""
+def _rows(df: DataFrame, key: str, kinds: dict[str, str]) -> DataFrame:
+    """The key as __key (0 if it is no whole number) and __raw ('' if it is one, else '~' and its text), and the normalised fields as __row."""
     fields = F.struct(*(normal(df, c, k).alias(c) for c, k in kinds.items()), F.lit(None).cast("string").alias("__"))
     c = F.col(f"`{key}`")
-    return df.select(whole_key(c).alias("__key"), F.when(whole_key(c).isNull(), F.coalesce(filled(c), F.lit(""))).alias("__raw"), fields.alias(f"__{side}"))
-
-
-def _versions(rows: DataFrame, side: str) -> DataFrame:
-    """Distinct rows numbered within their key, all after one shuffle by the key, which the join then finds in place."""
-    w = Window.partitionBy("__key").orderBy(f"__{side}")
-    same = F.coalesce(F.lag("__one").over(w) & F.lag(f"__{side}").over(w).eqNullSafe(F.col(f"__{side}")), F.lit(False))
-    seen = rows.withColumn("__one", F.lit(True)).withColumn("__new", ~same)
-    number = F.sum(F.col("__new").cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return seen.withColumn("__version", number).where("__new").select("__key", "__version", f"__{side}")
-
-
-def _hot_versions(rows: DataFrame, side: str, scratch: Scratch) -> DataFrame:
-    """The same for hot keys: repeats are combined before the shuffle, rows are numbered in ranges of their sorted values."""
-    many = scratch.keep(ordinal(rows.select("__key", f"__{side}").distinct(), ["__key", f"__{side}"], "__at"))
-    first = many.groupBy("__key").agg(F.min("__at").alias("__first"))
-    # a row a hot key
-    return many.join(F.broadcast(first), "__key").select("__key", (F.col("__at") - F.col("__first") + 1).alias("__version"), f"__{side}")
+    number = whole_key(c)
+    raw = F.when(number.isNotNull(), F.lit("")).otherwise(F.concat(F.lit("~"), F.coalesce(filled(c), F.lit(""))))
+    return df.select(F.coalesce(number, F.lit(0)).cast("bigint").alias("__key"), raw.alias("__raw"), fields.alias("__row"))
+
+
+def _numbered(rest: DataFrame, hot: list[tuple], scratch: Scratch) -> DataFrame:
+    """``rest`` (KEY, __side, __row; distinct) with __version: its place among its key's rows of that side, in the order of their values."""
+    group = [*KEY, "__side"]
+    w = Window.partitionBy(*KEY).orderBy("__side", "__row")
+    is_hot = F.concat_ws("|", "__key", "__raw").isin([f"{k}|{r}" for k, r in hot])
+    cold = rest.where(~is_hot) if hot else rest
+    # both sides of a key lie behind each other: the second side's numbers start again
+    out = cold.withColumn("__n", F.row_number().over(w)).withColumn("__first", F.min(F.when(F.col("__side") == 2, F.col("__n"))).over(Window.partitionBy(*KEY)))
+    out = out.select(*group, "__row", F.when(F.col("__side") == 2, F.col("__n") - F.col("__first") + 1).otherwise(F.col("__n")).cast("bigint").alias("__version"))
+    if hot:
+        many = scratch.keep(ordinal(rest.where(is_hot), [*group, "__row"], "__at"))
+        low = many.groupBy(*group).agg(F.min("__at").alias("__low"))  # a row a hot key and side
+        out = out.unionByName(many.join(F.broadcast(low), group).select(*group, "__row", (F.col("__at") - F.col("__low") + 1).alias("__version")))
+    return out
 
 
 def differences(left: DataFrame, right: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """One row a key and version: chave, versao, situacao (so_origem, so_destino, valor, igual) and difs, an array of (campo, esquerda, direita).
+    """One row a key and version: chave, texto_chave, versao, situacao (so_origem, so_destino, valor, igual) and difs, an array of (campo, esquerda, direita).
 
     All columns that both sides have, but for the key, are compared in normal form (NaN counts as NULL). Repeated rows
-    count once. A key with several different rows on a side is compared version by version, in the order of their values;
-    a version too many differs from nothing in every field that it fills. A key
-    that is no whole number matches nothing and is reported with chave NULL. An empty side leaves every key of the other
-    one-sided.
+    count once. A full outer join on key and normalised row, NULL equal to NULL, first finds the rows that both sides
+    have (igual, versao 0). Of what only one side has, the n-th row of a key on one side is compared with its n-th row
+    on the other (versao n), in the order of their values, at any size; a row without such a partner is one-sided. A key
+    that is no whole number is matched by its text (texto_chave; chave is NULL then), empty keys with empty ones. An
+    empty side leaves every key of the other one-sided.
     """
     there = set(right.columns)
     kinds = {c: kind_of(c, left.schema[c].dataType, right.schema[c].dataType) for c in left.columns if c in there and c != key}
-    a, b = _rows(left, key, kinds, "left"), _rows(right, key, kinds, "right")
-    hot = sorted({k for df in (a, b) for (k,) in hot_keys(df.select("__key"), ["__key"], VERSION_ROWS)})
-    cold = F.col("__key").isNotNull() & ~F.col("__key").isin(hot)
-    # equality of versions is left to the join's condition, so that both sides stay where their key sent them
-    x, y = _versions(a.where(cold), "left").alias("x"), _versions(b.where(cold), "right").alias("y")
-    on = (F.col("x.__key") == F.col("y.__key")) & (F.col("x.__version") <= F.col("y.__version")) & (F.col("x.__version") >= F.col("y.__version"))
-    both = x.join(y, on, "full").select(F.coalesce("x.__key", "y.__key").alias("__key"), F.coalesce("x.__version", "y.__version").alias("__version"), "__left", "__right")
-    if hot:
-        many = F.col("__key").isin(hot)
-        both = both.unionByName(_hot_versions(a.where(many), "left", scratch).join(_hot_versions(b.where(many), "right", scratch), ["__key", "__version"], "full"))
-    # rows without a key match nothing: they pass beside the join, which would send them all to one task
-    for df, side in ((a, "left"), (b, "right")):
-        none = df.where(F.col("__key").isNull()).distinct().select("__key", F.lit(1).cast("bigint").alias("__version"), f"__{side}")
-        both = both.unionByName(none, allowMissingColumns=True)
-    pairs = F.array(*(F.struct(F.lit(c).alias("campo"), F.col("__left").getField(c).alias("esquerda"), F.col("__right").getField(c).alias("direita")) for c in kinds)) if kinds else F.array().cast("array<struct<campo:string,esquerda:string,direita:string>>")
-    first = F.col("__version") == 1
-    return both.select(
-        F.col("__key").alias("chave"),
+    a, b = _rows(left, key, kinds), _rows(right, key, kinds)
+    hot = sorted({k for df in (a, b) for k in hot_keys(df, list(KEY), VERSION_ROWS)})
+    # repeats are combined before the shuffle, by which the join then finds both sides in place; the versions of a key spread with it
+    x, y = (df.distinct().withColumn("__here", F.lit(True)).alias(n) for df, n in ((a, "x"), (b, "y")))
+    same = F.lit(True)
+    for c in (*KEY, "__row"):
+        same = same & (F.col(f"x.{c}") == F.col(f"y.{c}"))  # rows are structs: their NULL fields are equal to each other
+    both = x.join(y, same, "full").select(
+        *(F.coalesce(f"x.{c}", f"y.{c}").alias(c) for c in (*KEY, "__row")),
+        F.when(F.col("x.__here") & F.col("y.__here"), 0).when(F.col("x.__here"), 1).otherwise(2).alias("__side"),
+    )
+    both = scratch.keep(both)
+    rest = _numbered(both.where(F.col("__side") > 0), hot, scratch)
+    each = rest.groupBy(*KEY, "__version").agg(F.max(F.when(F.col("__side") == 1, F.col("__row"))).alias("__left"), F.max(F.when(F.col("__side") == 2, F.col("__row"))).alias("__right"))
+    pairs = F.array(*(F.struct(F.lit(c).alias("campo"), F.col("__left").getField(c).alias("esquerda"), F.col("__right").getField(c).alias("direita")) for c in kinds)) if kinds else F.array().cast(DIFS)
+    name = (F.when(F.col("__raw") == "", F.col("__key")).alias("chave"), F.when(F.col("__raw") != "", F.substring("__raw", 2, 2**31 - 1)).alias("texto_chave"))
+    differ = each.select(
+        *name,
         F.col("__version").alias("versao"),
+        F.when(F.col("__right").isNull(), "so_origem").when(F.col("__left").isNull(), "so_destino").otherwise("valor").alias("situacao"),
         F.filter(pairs, lambda p: ~p["esquerda"].eqNullSafe(p["direita"])).alias("difs"),
-        F.col("__right").isNull().alias("__l"),
-        F.col("__left").isNull().alias("__r"),
-        first.alias("__first"),
-    ).select(
-        "chave",
-        "versao",
-        F.when(F.col("__l") & F.col("__first"), "so_origem").when(F.col("__r") & F.col("__first"), "so_destino").when(F.size("difs") > 0, "valor").otherwise("igual").alias("situacao"),
-        "difs",
     )
+    return differ.unionByName(both.where(F.col("__side") == 0).select(*name, F.lit(0).cast("bigint").alias("versao"), F.lit("igual").alias("situacao"), F.array().cast(DIFS).alias("difs")))
 
 
 def found(diff: DataFrame, name: str) -> DataFrame:
-    """tabela, chave, coluna, diferenca: one row a one-sided key, or a differing field."""
+    """tabela, chave, coluna, diferenca: one row a one-sided key, or a differing field of a key. Keys that are no number are kept apart by their text, empty ones by their version."""
     side = F.col("situacao").isin("so_origem", "so_destino")
-    each = diff.where(F.col("situacao") != "igual").select("chave", F.when(side, F.col("situacao")).otherwise("valor").alias("diferenca"), F.explode(F.when(side, F.array(F.lit(""))).otherwise(F.col("difs.campo"))).alias("coluna"))
+    each = diff.where(F.col("situacao") != "igual").select(
+        "chave",
+        "texto_chave",
+        F.when(F.col("texto_chave") == "", F.col("versao")).alias("__v"),
+        F.when(side, F.col("situacao")).otherwise("valor").alias("diferenca"),
+        F.explode(F.when(side, F.array(F.lit(""))).otherwise(F.col("difs.campo"))).alias("coluna"),
+    )
     # several versions of a key may differ in the same field
-    return each.select(F.lit(name).alias("tabela"), "chave", "coluna", "diferenca").distinct()
+    return each.distinct().select(F.lit(name).alias("tabela"), "chave", "coluna", "diferenca")

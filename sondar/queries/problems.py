@@ -147,6 +147,12 @@ def p5_diferencas(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def p5_versoes(spark: SparkSession, d: str) -> DataFrame:
+    """Copies of a table whose key isn't unique: comitente keyed by its situation, of which every value has many rows."""
+    diff = compare.differences(table(spark, d, "comitente"), table(spark, d, "comitente_destino"), "num_id_situacao_comitente", Scratch(spark, "p5"))
+    return diff.where("situacao <> 'igual'").select("chave", "versao", "situacao", F.inline("difs"))
+
+
 def p5_resumo(spark: SparkSession, d: str) -> DataFrame:
     out = None
     for t, diff in _diffs(spark, d):
@@ -155,4 +161,4 @@ def p5_resumo(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_perfil, p1_padroes, p1_mascaras_raras, p1_divergencia, p1_padroes_exatos, p1_mascaras_raras_exatas, p1_divergencia_exata, p2_amostra, p2_limiares, p3_found, p3_periodos, p3_contagens, p4_found, p4_caminhos, p4_descendentes, p4_circulos, p5_found, p5_diferencas, p5_resumo)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_perfil, p1_padroes, p1_mascaras_raras, p1_divergencia, p1_padroes_exatos, p1_mascaras_raras_exatas, p1_divergencia_exata, p2_amostra, p2_limiares, p3_found, p3_periodos, p3_contagens, p4_found, p4_caminhos, p4_descendentes, p4_circulos, p5_found, p5_diferencas, p5_versoes, p5_resumo)}

@@ -140,6 +140,16 @@ def p5_diferencas() -> str:
     return " union all ".join(parts)
 
 
+def p5_versoes() -> str:
+    fields = {"num_id_entidade": "n"} | {c: k for c, k in P5["comitente"][2].items() if c != "num_id_situacao_comitente"}
+    side = lambda x: f"(select distinct {num('num_id_situacao_comitente')} as k, {', '.join(f'{_norm(c, k)} as {c}' for c, k in fields.items())} from {x})"
+    order = ", ".join(f"{c} nulls first" for c in fields)
+    ranked = lambda x, y: f"(select *, row_number() over (partition by k order by {order}) as v from (select * from {side(x)} except select * from {side(y)}))"
+    both = f"{ranked('comitente', 'comitente_destino')} a full join {ranked('comitente_destino', 'comitente')} b on a.k is not distinct from b.k and a.v = b.v"
+    kind = "case when b.v is null then 'so_origem' when a.v is null then 'so_destino' else 'valor' end"
+    return " union all ".join(f"(select coalesce(a.k, b.k) as chave, coalesce(a.v, b.v) as versao, {kind} as situacao, '{c}' as campo, a.{c} as esquerda, b.{c} as direita from {both} where a.{c} is distinct from b.{c})" for c in fields)
+
+
 def p5_resumo() -> str:
     parts = []
     for t, (_, _, fields) in P5.items():
@@ -209,5 +219,6 @@ SQL = {
     "p4_circulos": p4_circulos(),
     "p5_found": p5_found(),
     "p5_diferencas": p5_diferencas(),
+    "p5_versoes": p5_versoes(),
     "p5_resumo": p5_resumo(),
 }
