@@ -1,209 +1,196 @@
 """Parent-child links to full hierarchies (problem 4): bottom-up leaf peeling, whole chains at a time.
 
-Every round peels the leaves of what is left, and with each leaf the run of only-child ancestors above it, which would
-be peeled one by one in the rounds to follow. Such a chain carries the list of its nodes and the size of the subtree
-below it to the parent it hangs on. A round leaves at most half of the branching nodes' leaves, so the rounds are few
-(the Strahler number of the forest), however deep it is; chains are joined up by doubling. Nothing is peeled on a
-circle: what is left is the circles. In the reverse order of peeling, chains get root, depth and path from the node they
-hang on. Once no more than ``LOCAL_ROWS`` nodes are left (they are counted), one task peels the rest leaf by leaf: rounds
-over so few rows cost more than they do.
+A node waits for as many children as it has, and knows the exclusive or of their ids, so the last child left is known
+without a look-up. Every round peels the leaves of what is left, and with each leaf the run of only-child ancestors
+above it, which would be peeled one by one in the rounds to follow. Such a chain sends its number, its top's id and the
+size of its subtree to the parent it hangs on. A round leaves at most half of the leaves, so the rounds are few (the
+Strahler number of the forest), however deep it is. Within a chain, nodes find their leaf by doubling: each holds a
+pointer, a distance and a sum, so memory does not grow with the chain's length. Nothing is peeled on a circle: what is
+left is the circles. In the reverse order of peeling, chains get root and depth (and the path, if asked for) from the
+node they hang on.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
 from .skew import HOT_ROWS, hot_keys, salted_join
 
 LONG = "array<bigint>"
-#: Up to so many nodes one task peels the rest.
-LOCAL_ROWS = 50_000
-#: Ids in the paths of one batch that such a task hands over.
-PATH_IDS = 1_000_000
-SOLVED = "h string, id bigint, root bigint, depth int, path array<bigint>, size bigint, on_circle boolean"
+NODE = ("h", "id", "parent", "kids", "kid", "size")
 
 
-def links(df: DataFrame, key: str, parents: dict[str, str]) -> DataFrame:
-    """h, id, parent: one row a node and hierarchy. ``parents``: the link column of each hierarchy.
+@dataclass(frozen=True)
+class Round:
+    """chains: h, leaf, steps (from the leaf to the top), top, hang; tall: h, id, leaf, dist, size, linked of their nodes above the leaf, if there are any."""
+
+    chains: DataFrame
+    number: int
+    tall: DataFrame | None
+    tall_rows: int
 
-    Rows without a key are left out. A key in several different rows keeps its least link that is not NULL.
-    """
-    each = F.array(*(F.struct(F.lit(h).alias("h"), F.col(c).cast("bigint").alias("parent")) for h, c in parents.items()))
-    return df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.explode(each).alias("__e")).select("__e.h", "id", "__e.parent").groupBy("h", "id").agg(F.min("parent").alias("parent"))
 
+@dataclass(frozen=True)
+class Peeled:
+    rounds: list[Round]
+    ring: DataFrame  # the nodes left: those on circles
+    ring_rows: int
+    alone: DataFrame | None  # nodes without parent and children
 
-def _double(open_: DataFrame, done_when: Column, scratch: Scratch) -> DataFrame:
-    """Lists grown by doubling. Rows h, id, seg (nodes from id upwards, all of them rows here), nxt (the next row above, NULL if none).
 
-    Every id is the nxt of at most one row's list end, so no key is hot. Ends when ``done_when`` holds for every row that
-    matters; the lists of the others stay within twice the longest.
+def waiting(df: DataFrame, key: str, parents: list[str]) -> DataFrame:
+    """h (the place in ``parents``), id, parent, kids (children that have a row), kid (exclusive or of their ids), size = 1.
+
+    Rows without a key are left out. A key in several different rows keeps its least link that is not NULL. Both groupings
+    and their join are by id, so each side is shuffled once; repeats, and the children of one parent, are combined before.
     """
-    cur, _, open_rows = scratch.counted(open_, ~done_when)
-    while open_rows:
-        up = cur.select("h", F.col("id").alias("nxt"), F.col("seg").alias("__s"), F.col("nxt").alias("__n"), F.lit(True).alias("__hit"))
-        grown = cur.join(up, ["h", "nxt"], "left").select("h", "id", *[c for c in cur.columns if c not in ("h", "id", "seg", "nxt")], F.when(F.col("__hit"), F.concat("seg", "__s")).otherwise(F.col("seg")).alias("seg"), F.when(F.col("__hit"), F.col("__n")).alias("nxt"))
-        old = cur
-        cur, _, open_rows = scratch.counted(grown, ~done_when)
+    wide = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("id")).agg(*(F.min(F.col(c).cast("bigint")).alias(f"p{i}") for i, c in enumerate(parents)))
+    each = F.array(*(F.struct(F.lit(i).alias("h"), F.col(f"p{i}").alias("p")) for i in range(len(parents))))
+    up = wide.select(F.col("id").alias("kid"), F.explode(each).alias("e")).where(F.col("e.p").isNotNull())
+    mine = [F.col("e.h") == i for i in range(len(parents))]
+    counts = [a for i, m in enumerate(mine) for a in (F.count_if(m).alias(f"n{i}"), F.bit_xor(F.when(m, F.col("kid"))).alias(f"x{i}"))]
+    both = wide.join(up.groupBy(F.col("e.p").alias("id")).agg(*counts), "id", "left")
+    zero = F.lit(0).cast("bigint")
+    rows = F.array(*(F.struct(F.lit(i).alias("h"), F.col(f"p{i}").alias("parent"), F.coalesce(f"n{i}", zero).alias("kids"), F.coalesce(f"x{i}", zero).alias("kid")) for i in range(len(parents))))
+    return both.select("id", F.explode(rows).alias("e")).select("e.h", "id", "e.parent", "e.kids", "e.kid", F.lit(1).cast("bigint").alias("size"))
+
+
+def _thin(rest: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """Nodes with one child left, with ptr (the first node below that has none or several, or one on a circle), kind (its children), dist to it and the sum of sizes below, and how many they are."""
+    t, c = rest.where(F.col("kids") == 1).alias("t"), rest.alias("c")
+    first = t.join(c, (F.col("t.h") == F.col("c.h")) & (F.col("t.kid") == F.col("c.id"))).select("t.*", F.col("t.kid").alias("ptr"), F.lit(1).cast("bigint").alias("dist"), F.col("c.size").alias("below"), F.col("c.kids").alias("kind"))
+    cur, number, open_ = scratch.counted(first, F.col("kind") == 1)
+    while open_:
+        t, u = cur.where(F.col("kind") == 1).alias("t"), cur.alias("u")
+        # pointers at thin nodes are all different: no key is hot
+        further = t.join(u, (F.col("t.h") == F.col("u.h")) & (F.col("t.ptr") == F.col("u.id"))).select(*(F.col(f"t.{c}") for c in NODE), "u.ptr", (F.col("t.dist") + F.col("u.dist")).alias("dist"), (F.col("t.below") + F.col("u.below")).alias("below"), "u.kind")
+        old, was = cur, open_
+        cur, _, open_ = scratch.counted(cur.where(F.col("kind") != 1).unionByName(further), F.col("kind") == 1)
         scratch.drop(old)
-    return cur
-
-
-def _peel(rest: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, int, DataFrame]:
-    """One round on rest (h, id, parent, size): chains (h, chain from the leaf up, sizes along it, hang), how many, and what is left; None if no leaf is."""
-    kids = rest.where(F.col("parent").isNotNull()).groupBy("h", F.col("parent").alias("id")).agg(F.count(F.lit(1)).alias("kids"))
-    rest, _, leaves = scratch.counted(rest.join(kids, ["h", "id"], "left").withColumn("kids", F.coalesce("kids", F.lit(0).cast("bigint"))), F.col("kids") == 0)
-    if not leaves:
-        return None, 0, rest
-    # the next node above belongs to the chain if it is thin too: then it has no other child
-    above = rest.where(F.col("kids") == 1).select("h", F.col("id").alias("parent"), F.lit(True).alias("__thin"))
-    segs = scratch.keep(rest.where(F.col("kids") <= 1).join(above, ["h", "parent"], "left").select("h", "id", "parent", "size", "kids", F.when(F.col("__thin"), F.col("parent")).alias("nxt")))
-    # most leaves are chains of their own: nothing more is to be found for them
-    alone = (F.col("kids") == 0) & F.col("nxt").isNull()
-    lone = segs.where(alone).select("h", F.array("id").alias("chain"), F.array("size").alias("sizes"), F.col("parent").alias("hang"))
-    more = segs.where(~alone)
-    lists = _double(more.select("h", "id", "kids", F.array("id").alias("seg"), "nxt"), (F.col("kids") > 0) | F.col("nxt").isNull(), scratch)
-    chains = lists.where(F.col("kids") == 0).select("h", F.col("id").alias("leaf"), "seg")
-    # sizes so far (of what was peeled below) and the parent of the chain's top
-    tall = chains.select("h", "leaf", F.posexplode("seg").alias("pos", "id")).join(more.select("h", "id", "parent", "size"), ["h", "id"])
-    top = tall.groupBy("h", "leaf").agg(F.sort_array(F.collect_list(F.struct("pos", "id", "size", "parent"))).alias("__c"))
-    long = top.select("h", F.col("__c.id").alias("chain"), F.expr("transform(__c, (x, i) -> aggregate(slice(__c, 1, i + 1), 0L, (a, y) -> a + y.size))").alias("sizes"), F.element_at("__c", -1)["parent"].alias("hang"))
-    long = scratch.keep(long)
-    peeled = lone.unionByName(long)
-    scratch.drop(lists)
-    gone = long.select("h", F.explode("chain").alias("id"))
-    sent = peeled.where(F.col("hang").isNotNull()).groupBy("h", F.col("hang").alias("id")).agg(F.sum(F.element_at("sizes", -1)).alias("__below"))
-    stay = more.select("h", "id", "parent", "size").join(gone, ["h", "id"], "left_anti").unionByName(rest.where(F.col("kids") > 1).select("h", "id", "parent", "size"))
-    left = stay.join(sent, ["h", "id"], "left").select("h", "id", "parent", (F.col("size") + F.coalesce("__below", F.lit(0))).alias("size"))
-    out = scratch.keep(left)
-    scratch.drop(rest)
-    return peeled, leaves, out
-
-
-def _circles(rest: DataFrame, scratch: Scratch) -> DataFrame:
-    """Of nodes on circles (h, id, parent): h, id, circle (its least id), members. Lists double until they hold their own start again."""
-    segs = rest.select("h", "id", F.array("parent").alias("seg"), F.col("parent").alias("nxt"))
-    full = _double(segs, F.array_contains("seg", F.col("id")), scratch)
-    ring = F.slice("seg", F.lit(1), F.array_position("seg", F.col("id")).cast("int"))
-    return full.select("h", "id", F.array_min(ring).alias("root"), F.size(ring).alias("members"))
-
-
-def _finish(rest: DataFrame, paths: bool) -> DataFrame:
-    """The solution of a rest (h, id, parent, size) of at most ``LOCAL_ROWS`` rows, peeled leaf by leaf in one task."""
-    most = PATH_IDS
-
-    def solve(batches):
-        size, up = {}, {}
-        for b in batches:
-            for h, i, p, top, n in zip(b["h"], b["id"], b["parent"], b["top"], b["size"]):
-                size[h, i], up[h, i] = n, None if top else (h, p)
-        kids = dict.fromkeys(up, 0)
-        for p in up.values():
-            if p:
-                kids[p] += 1
-        order = [x for x, n in kids.items() if n == 0]
-        for x in order:  # grows while leaves come up
-            if p := up[x]:
-                size[p] += size[x]
-                kids[p] -= 1
-                if kids[p] == 0:
-                    order.append(p)
-        root, depth, path = {}, {}, {}
-        for x in (x for x, n in kids.items() if n):
-            if x not in root:
-                ring, y = [], x
-                while y not in root:
-                    root[y] = None
-                    ring.append(y)
-                    y = up[y]
-                least = min(i for _, i in ring)
-                for y in ring:
-                    root[y], depth[y], path[y] = least, -1, (y[1],) if paths else ()
-        circle = set(root)
-        out, ids = [], 0
-
-        def frame():
-            return pd.DataFrame(out, columns=["h", "id", "root", "depth", "path", "size", "on_circle"])
-
-        for x in [*circle, *reversed(order)]:
-            if x not in root:
-                p = up[x]
-                root[x], depth[x] = (root[p], -1 if depth[p] == -1 else depth[p] + 1) if p else (x[1], 0)
-                if paths:
-                    path[x] = (*path[p], x[1]) if p else (x[1],)
-            out.append((*x, root[x], depth[x], list(path[x]) if paths else [], size[x], x in circle))
-            ids += len(path[x]) if paths else 1
-            if ids > most:
-                yield frame()
-                out.clear()
-                ids = 0
-        if out:
-            yield frame()
-
-    # no NULL among the ids: pandas would make them floating-point numbers
-    ready = rest.select("h", "id", F.coalesce("parent", F.lit(0)).alias("parent"), F.col("parent").isNull().alias("top"), "size")
-    return ready.coalesce(1).mapInPandas(solve, SOLVED)
-
-
-def hierarchy(nodes: DataFrame, scratch: Scratch, paths: bool = True) -> DataFrame:
-    """h, id, root, depth, path (if asked for), size, on_circle of every node (h, id, parent as of ``links``).
-
-    path runs from the root down to the node itself; size counts the node and all below it. A link to a node without a
-    row ends there: the node is its own root at depth 0. On a circle, and below one, root is the least id of the circle
-    and depth -1; the path of a node below one starts at the circle's node that it hangs on, and a circle's node has
-    itself as path and the size of what hangs on it. Each node once; empty in, empty out.
-    """
-    nodes, number, _ = scratch.counted(nodes)
-    ids = nodes.select("h", F.col("id").alias("parent"), F.lit(True).alias("__there"))
-    # children of one parent may be a third of all rows: salted where they are
-    linked = salted_join(nodes.where(F.col("parent").isNotNull()), ids, ["h", "parent"], "left", ["id"], hot_keys(nodes, ["h", "parent"]) if number >= HOT_ROWS else [])
-    rest = linked.select("h", "id", F.when(F.col("__there"), F.col("parent")).alias("parent")).unionByName(nodes.where(F.col("parent").isNull()))
-    rest, left, _ = scratch.counted(rest.withColumn("size", F.lit(1).cast("bigint")))
-    rounds: list[tuple[DataFrame, int]] = []
-    while left > LOCAL_ROWS:
-        peeled, n, rest = _peel(rest, scratch)
-        if peeled is None:
+        if open_ == was:  # every chain's nodes come nearer to its end; those on circles never do
             break
-        rounds.append((peeled, n))
-        left = rest.count()
-    if left <= LOCAL_ROWS:
-        solved = scratch.keep(_finish(rest, paths))
+    return cur, number
+
+
+def peel(df: DataFrame, key: str, parents: list[str], scratch: Scratch, alone: bool = True) -> Peeled:
+    """The rounds of peeling the hierarchies that ``parents`` (link columns) make of ``df``, bottom up, and what no round peels."""
+    nodes = waiting(df, key, parents)
+    apart = F.col("parent").isNull() & (F.col("kids") == 0)
+    kept, _, leaves = scratch.counted(nodes if alone else nodes.where(~apart), (F.col("kids") == 0) & F.col("parent").isNotNull())
+    rest = kept.where(~apart) if alone else kept
+    rounds: list[Round] = []
+    rows = None
+    while leaves:
+        thin, tall_rows = _thin(rest, scratch)
+        ends = rest.where(F.col("kids") == 0).select("h", F.col("id").alias("leaf"), "parent", "size")
+        if tall_rows:
+            tall = thin.where(F.col("kind") == 0).select("h", "id", F.col("ptr").alias("leaf"), "dist", (F.col("size") + F.col("below")).alias("size"), "parent")
+            tops = tall.groupBy("h", "leaf").agg(F.max(F.struct("dist", "id", "parent", "size")).alias("top"))
+            chains = ends.join(tops, ["h", "leaf"], "left").select(
+                "h", "leaf", F.coalesce("top.dist", F.lit(0)).cast("bigint").alias("steps"), F.coalesce("top.id", "leaf").alias("top"),
+                F.when(F.col("top").isNull(), F.col("parent")).otherwise(F.col("top.parent")).alias("hang"), F.coalesce("top.size", "size").alias("total"), "size",
+            )
+        else:
+            tall = None
+            chains = ends.select("h", "leaf", F.lit(0).cast("bigint").alias("steps"), F.col("leaf").alias("top"), F.col("parent").alias("hang"), F.col("size").alias("total"), "size")
+        chains, number, _ = scratch.counted(chains)
+        rounds.append(Round(chains, number, tall, tall_rows))
+        sent = chains.where(F.col("hang").isNotNull()).groupBy("h", F.col("hang").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("top").alias("x"), F.sum("total").alias("s"))
+        # a thin node's child is not peeled without it, so only nodes with several children hear from below
+        wide = rest.where(F.col("kids") > 1).join(sent, ["h", "id"], "left")
+        zero = F.lit(0).cast("bigint")
+        heard = wide.select("h", "id", "parent", (F.col("kids") - F.coalesce("n", zero)).alias("kids"), F.col("kid").bitwiseXOR(F.coalesce("x", zero)).alias("kid"), (F.col("size") + F.coalesce("s", zero)).alias("size"))
+        rest, rows, leaves = scratch.counted(heard.unionByName(thin.where(F.col("kind") != 0).select(*NODE)), F.col("kids") == 0)
+    if rows is None:
+        rows = rest.count()
+    return Peeled(rounds, rest, rows, kept.where(apart) if alone else None)
+
+
+def circles(ring: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of nodes on circles: h, id, size and root (the circle's least id), by doubling: each knows the least id of so many nodes from it on; once no node hears of a lesser one, all know their circle's."""
+    cur = ring.select("h", "id", F.col("parent").alias("ptr"), F.col("id").alias("root"), F.lit(False).alias("less"), "size")
+    while True:
+        a, b = cur.alias("a"), cur.alias("b")
+        grown = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.ptr") == F.col("b.id"))).select("a.h", "a.id", "b.ptr", F.least("a.root", "b.root").alias("root"), (F.col("b.root") < F.col("a.root")).alias("less"), "a.size")
+        cur, _, changed = scratch.counted(grown, F.col("less"))
+        if not changed:
+            return cur.select("h", "id", "root", "size")
+
+
+def _solved(r: Round, above: DataFrame | None, paths: bool) -> DataFrame:
+    """h, id, root, depth, path, size, linked of the nodes of a round's chains, from those of the nodes they hang on."""
+    empty = F.array().cast(LONG)
+    look = [F.col("root").alias("__root"), F.col("depth").alias("__depth"), (F.col("path") if paths else empty).alias("__path")]
+    low = r.chains.where(F.col("hang").isNotNull())
+    if above is None:
+        hung = low.select("*", F.lit(None).cast("bigint").alias("__root"), F.lit(None).cast("int").alias("__depth"), empty.alias("__path"))
+    else:
+        # children of one node may be a third of all rows: salted where they are
+        hung = salted_join(low, above.select("h", F.col("id").alias("hang"), *look), ["h", "hang"], "left", ["leaf"], hot_keys(low, ["h", "hang"]) if r.number >= HOT_ROWS else [])
+    # tops of trees hang on nothing, or on a node without a row
+    hung = hung.unionByName(r.chains.where(F.col("hang").isNull()), allowMissingColumns=True)
+    first = F.when(F.col("__depth") == -1, -1).otherwise(F.coalesce(F.col("__depth") + 1, F.lit(0)))  # of the chain's top
+    base = hung.select("h", "leaf", "steps", F.coalesce("__root", "top").alias("root"), first.alias("__first"), F.coalesce("__path", empty).alias("__path"), "size", F.col("hang").isNotNull().alias("__hung"))
+    depth = lambda down: F.when(F.col("__first") == -1, -1).otherwise(F.col("__first") + down).cast("int").alias("depth")
+    if not paths:
+        ends = base.select("h", F.col("leaf").alias("id"), "root", depth(F.col("steps")), "size", (F.col("__hung") | (F.col("steps") > 0)).alias("linked"))
+        if r.tall is None:
+            return ends
+        tall = r.tall.select("h", "leaf", "id", "dist", F.col("size").alias("__size"), F.col("parent").isNotNull().alias("linked"))
+        # one chain may be a third of all rows
+        each = salted_join(tall, base.where(F.col("steps") > 0).drop("size"), ["h", "leaf"], "inner", ["id"], hot_keys(tall, ["h", "leaf"]) if r.tall_rows >= HOT_ROWS else [])
+        return ends.unionByName(each.select("h", "id", "root", depth(F.col("steps") - F.col("dist")), F.col("__size").alias("size"), "linked"))
+    # a chain's ids stand in one list, from the top down: no longer than the path of its leaf, which is part of the result
+    own = F.array(F.struct("leaf", "size"))
+    if r.tall is None:
+        line = base.withColumn("__line", own)
     else:
-        ring = _circles(rest.select("h", "id", "parent"), scratch)
-        path = F.array("id") if paths else F.array().cast(LONG)
-        solved = scratch.keep(ring.join(rest.select("h", "id", "size"), ["h", "id"]).select("h", "id", "root", F.lit(-1).alias("depth"), path.alias("path"), "size", F.lit(True).alias("on_circle")))
-    parts = [solved]
-    for chains, number in reversed(rounds):
-        above = parts[0]
-        for p in parts[1:]:
-            above = above.unionByName(p)
-        above = above.select("h", F.col("id").alias("hang"), F.col("root").alias("__root"), F.col("depth").alias("__depth"), F.col("path").alias("__path"))
-        # tops of trees hang on nothing; children of one node may be a third of all rows
-        low = chains.where(F.col("hang").isNotNull())
-        hung = salted_join(low, above, ["h", "hang"], "left", ["chain"], hot_keys(low, ["h", "hang"]) if number >= HOT_ROWS else [])
-        hung = hung.unionByName(chains.where(F.col("hang").isNull()), allowMissingColumns=True)
-        down = F.concat(F.coalesce("__path", F.array().cast(LONG)), F.reverse("chain")) if paths else F.array().cast(LONG)
-        base = F.coalesce(F.size("__path"), F.lit(0))
-        n = F.size("chain")
-        each = hung.select("h", F.coalesce("__root", F.element_at("chain", -1)).alias("root"), F.col("__depth"), down.alias("__down"), base.alias("__base"), n.alias("__len"), F.posexplode(F.arrays_zip("chain", "sizes")).alias("__i", "__x"))
-        up = F.col("__len") - 1 - F.col("__i")  # steps below the chain's top
-        path = F.slice("__down", F.lit(1), F.col("__base") + up + 1) if paths else F.array().cast(LONG)
-        part = each.select(
-            "h",
-            F.col("__x.chain").alias("id"),
-            "root",
-            F.when(F.col("__depth") == -1, -1).otherwise(F.coalesce(F.col("__depth") + 1, F.lit(0)) + up).cast("int").alias("depth"),
-            path.alias("path"),
-            F.col("__x.sizes").cast("bigint").alias("size"),
-            F.lit(False).alias("on_circle"),
-        )
-        parts.append(scratch.keep(part))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out if paths else out.drop("path")
+        lists = r.tall.groupBy("h", "leaf").agg(F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("o"), F.col("id").alias("leaf"), "size"))).alias("__up"))
+        up = F.transform("__up", lambda x: F.struct(x["leaf"].alias("leaf"), x["size"].alias("size")))
+        line = base.join(lists, ["h", "leaf"], "left").withColumn("__line", F.concat(F.coalesce(up, F.array().cast("array<struct<leaf:bigint,size:bigint>>")), own))
+    line = line.withColumn("__down", F.concat("__path", F.col("__line.leaf")))
+    each = line.select("h", "root", "__first", "__hung", "__down", F.size("__path").alias("__n"), F.posexplode("__line").alias("__i", "__x"))
+    return each.select("h", F.col("__x.leaf").alias("id"), "root", depth(F.col("__i")), F.slice("__down", F.lit(1), F.col("__n") + F.col("__i") + 1).alias("path"), F.col("__x.size").alias("size"), (F.col("__hung") | (F.col("__i") > 0)).alias("linked"))
+
+
+def _named(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumn("h", F.array(*map(F.lit, names))[F.col("h")])
+
+
+def hierarchy(df: DataFrame, key: str, parents: dict[str, str], scratch: Scratch, paths: bool = True, alone: bool = True) -> DataFrame:
+    """h, id, root, depth, path (if asked for), size, linked, on_circle of every node of every hierarchy (``parents``: its name and link column).
+
+    path runs from the root down to the node itself; size counts the node and all below it; linked says whether its link
+    is not NULL. A link to a node without a row ends there: the node is its own root at depth 0. On a circle, and below
+    one, root is the least id of the circle and depth -1; the path of a node below one starts at the circle's node that
+    it hangs on, and a circle's node has itself as path and the size of what hangs on it. Rows without a key are no
+    nodes; a key in several rows is one node with its least link. Each node once; without ``alone`` those that have
+    neither parent nor children are left out. Empty in, empty out.
+    """
+    done = peel(df, key, list(parents.values()), scratch, alone)
+    path = [F.array("id").alias("path")] if paths else []
+    parts = []
+    if done.ring_rows:
+        ring = circles(done.ring, scratch)
+        parts.append(scratch.keep(ring.select("h", "id", "root", F.lit(-1).alias("depth"), *path, "size", F.lit(True).alias("linked"), F.lit(True).alias("on_circle"))))
+    for i, r in enumerate(reversed(done.rounds)):
+        part = _solved(r, _union(parts), paths).withColumn("on_circle", F.lit(False))
+        parts.append(part if i == len(done.rounds) - 1 else scratch.keep(part))
+    if alone or not parts:
+        single = (done.alone if alone else done.ring).select("h", "id", F.col("id").alias("root"), F.lit(0).alias("depth"), *path, "size", F.lit(False).alias("linked"), F.lit(False).alias("on_circle"))
+        parts.append(single)
+    return _named(_union(parts), list(parents))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame | None:
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 def descendants(tree: DataFrame) -> DataFrame:
@@ -212,6 +199,7 @@ def descendants(tree: DataFrame) -> DataFrame:
     return each.where(F.col("__i") < F.col("__n") - 1).select("h", "ancestor", "id", (F.col("__n") - 1 - F.col("__i")).alias("steps"))
 
 
-def circle_members(tree: DataFrame) -> DataFrame:
-    """h, circle, id of all nodes on circles."""
-    return tree.where("on_circle").select("h", F.col("root").alias("circle"), "id")
+def circle_members(df: DataFrame, key: str, parents: dict[str, str], scratch: Scratch) -> DataFrame:
+    """h, circle (its least id), id of all nodes on circles: what peeling leaves."""
+    ring = circles(peel(df, key, list(parents.values()), scratch, alone=False).ring, scratch)
+    return _named(ring, list(parents)).select("h", F.col("root").alias("circle"), "id")

@@ -102,14 +102,12 @@ def p3_contagens(spark: SparkSession, d: str) -> DataFrame:
     return state.select(F.col("__ref").alias("referencia"), F.col("__key").alias("chave"), "refs", "active", "ever")
 
 
-def _tree(spark: SparkSession, d: str, paths: bool = True) -> DataFrame:
-    scratch = Scratch(spark, "p4")
-    return hierarchy.hierarchy(hierarchy.links(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS), scratch, paths)
+def _tree(spark: SparkSession, d: str, paths: bool = True, alone: bool = True) -> DataFrame:
+    return hierarchy.hierarchy(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS, Scratch(spark, "p4"), paths, alone)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    linked = hierarchy.links(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS).where("parent is not null").select("h", "id")
-    return _tree(spark, d, paths=False).join(linked, ["h", "id"], "left_semi").select(F.col("h").alias("hierarquia"), F.col("id").alias("num_if"), F.col("root").alias("num_if_raiz"), F.col("depth").alias("profundidade"))
+    return _tree(spark, d, paths=False, alone=False).where("linked").select(F.col("h").alias("hierarquia"), F.col("id").alias("num_if"), F.col("root").alias("num_if_raiz"), F.col("depth").alias("profundidade"))
 
 
 def p4_caminhos(spark: SparkSession, d: str) -> DataFrame:
@@ -117,11 +115,12 @@ def p4_caminhos(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_descendentes(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.descendants(_tree(spark, d)).select(F.col("h").alias("hierarquia"), F.col("ancestor").alias("num_if"), F.col("id").alias("num_if_abaixo"), F.col("steps").alias("passos"))
+    return hierarchy.descendants(_tree(spark, d, alone=False)).select(F.col("h").alias("hierarquia"), F.col("ancestor").alias("num_if"), F.col("id").alias("num_if_abaixo"), F.col("steps").alias("passos"))
 
 
 def p4_circulos(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.circle_members(_tree(spark, d, paths=False)).select(F.col("h").alias("hierarquia"), F.col("circle").alias("circulo"), F.col("id").alias("num_if"))
+    ring = hierarchy.circle_members(table(spark, d, "instrumento_financeiro"), "num_if", PARENTS, Scratch(spark, "p4"))
+    return ring.select(F.col("h").alias("hierarquia"), F.col("circle").alias("circulo"), F.col("id").alias("num_if"))
 
 
 def _diffs(spark: SparkSession, d: str):
