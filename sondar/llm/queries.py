@@ -1,4 +1,4 @@
-"""Queries of problems 6 to 8, with production parameters over whole tables. Their results can't be put in SQL: they are tested against brute force."""
+"""Queries of problems 2 and 6 to 8, with production parameters over whole tables, and SQL for what SQL can express of them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,34 @@ from pyspark.sql import functions as F
 
 from ..operators.scratch import Scratch
 from ..sources.tables import table
-from . import mixing, packing, tokens, truncation
+from . import mixing, packing, sampling, tokens, truncation
+
+
+#: Shares of single strata (num_tipo_if, '' where it is NULL), beside the tenth of all others.
+RATES = (("49", 0.05), ("81", 0.20), ("", 0.50))
+#: A later run asks for less in general and for more in one stratum.
+LATER = sampling.SampleConfig(rate=0.05, rates=(("96", 0.30),))
+KEYED = ("num_if", "num_tipo_if", "num_carga")
+
+
+def p2_amostra(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.stable_sample(table(spark, d, "instrumento_financeiro"), *KEYED, sampling.SampleConfig()).withColumnRenamed("chave", "num_if")
+
+
+def p2_limiares(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.thresholds(table(spark, d, "instrumento_financeiro"), *KEYED, sampling.SampleConfig())
+
+
+def p2_estratos(spark: SparkSession, d: str) -> DataFrame:
+    """Each stratum at its own rate."""
+    return sampling.stable_sample(table(spark, d, "instrumento_financeiro"), *KEYED, sampling.SampleConfig(rates=RATES)).withColumnRenamed("chave", "num_if")
+
+
+def p2_elevada(spark: SparkSession, d: str) -> DataFrame:
+    """The run after p2_limiares: its thresholds hold where the new rates are lower, and are raised where they are higher."""
+    df, scratch = table(spark, d, "instrumento_financeiro"), Scratch(spark, "p2")
+    earlier = scratch.keep(sampling.thresholds(df, *KEYED, sampling.SampleConfig()).select("estrato", "limiar"))
+    return sampling.stable_sample(df, *KEYED, LATER, earlier, scratch).withColumnRenamed("chave", "num_if")
 
 
 def _packed(spark: SparkSession, d: str):
@@ -96,8 +123,28 @@ def p8_limites(spark: SparkSession, d: str) -> DataFrame:
     return found.unionByName(blocks)
 
 
-QUERIES = {f.__name__: f for f in (p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_limites)}
+QUERIES = {f.__name__: f for f in (p2_amostra, p2_limiares, p2_estratos, p2_elevada, p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_limites)}
+
+
+def _p2(fixed: str) -> str:
+    row = "{'l': l, 'c': -g, 's': s}"
+    rows = f"(select num_if, s, g, {fixed} as l from (select num_if, coalesce(cast(num_tipo_if as varchar), '') as s, coalesce(num_carga, 2147483647) as g from instrumento_financeiro where num_if is not null))"
+    return f"(select num_if, x.s as estrato, g as carga, substr(sha256('amostra-1:' || num_if), 1, 13) as h, x.l as limiar from (select num_if, max({row}) as x, min(g) as g from {rows} group by 1))"
+
+
+def _hex(rate: float) -> str:
+    return f"'{int(rate * 16**13):013x}'"
+
+
+def _rates(rates: dict[str, float], default: float) -> str:
+    return "case s " + " ".join(f"when '{s}' then {_hex(r)}" for s, r in rates.items()) + f" else {_hex(default)} end"
+
+
 SQL: dict[str, str] = {
+    "p2_amostra": f"select * from {_p2(_hex(0.10))} where h < limiar",
+    "p2_limiares": f"select estrato, limiar, count(*) as chaves, count(*) filter (h < limiar) as escolhidas from {_p2(_hex(0.10))} group by 1, 2",
+    "p2_estratos": f"select * from {_p2(_rates({'49': 0.05, '81': 0.20, '': 0.50}, 0.10))} where h < limiar",
+    "p2_elevada": f"select * from {_p2(_rates({'96': 0.30}, 0.10))} where h < limiar",
     # tokens can't be counted in SQL: what must hold of the result can
     "p6_conferencia": "select distinct cod_recipiente, (select count(*) from documents) as documentos, 0 as incompletos, 0 as divididos_sem_necessidade, 0 as acima_da_capacidade, 0 as numeros_vagos from recipiente",
 }
