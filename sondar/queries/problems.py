@@ -1,4 +1,4 @@
-"""Queries of the general problems 1 to 5, with production parameters over whole tables, and their SQL where it is fast enough."""
+"""Queries of the general problems 1 and 3 to 5, with production parameters over whole tables, and their SQL where it is fast enough."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import mask
-from ..operators import compare, hierarchy, profile, references, sampling
+from ..operators import compare, hierarchy, profile, references
 from ..operators.scratch import Scratch
 from ..sources.tables import table
 
@@ -73,16 +73,6 @@ def p1_divergencia_exata(spark: SparkSession, d: str) -> DataFrame:
     return _each(spark, d, lambda df: profile.mask_divergence(scratch.keep(profile.mask_counts(df, form=mask)))).withColumn("divergencia", F.round("divergencia", 9))
 
 
-def p2_amostra(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "instrumento_financeiro")
-    return sampling.stable_sample(df, "num_if", "num_tipo_if", "num_carga", sampling.SampleConfig()).withColumnRenamed("chave", "num_if")
-
-
-def p2_limiares(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "instrumento_financeiro")
-    return sampling.thresholds(df, "num_if", "num_tipo_if", "num_carga", sampling.SampleConfig())
-
-
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     names = {r.table for r in REFERENCES} | {r.target for r in REFERENCES}
     return references.orphans({t: table(spark, d, t) for t in names}, REFERENCES, Scratch(spark, "p3"))
@@ -160,4 +150,4 @@ def p5_resumo(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_perfil, p1_padroes, p1_mascaras_raras, p1_divergencia, p1_padroes_exatos, p1_mascaras_raras_exatas, p1_divergencia_exata, p2_amostra, p2_limiares, p3_found, p3_periodos, p3_contagens, p4_found, p4_caminhos, p4_descendentes, p4_circulos, p5_found, p5_diferencas, p5_versoes, p5_resumo)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_perfil, p1_padroes, p1_mascaras_raras, p1_divergencia, p1_padroes_exatos, p1_mascaras_raras_exatas, p1_divergencia_exata, p3_found, p3_periodos, p3_contagens, p4_found, p4_caminhos, p4_descendentes, p4_circulos, p5_found, p5_diferencas, p5_versoes, p5_resumo)}

@@ -40,11 +40,6 @@ def p1_found() -> str:
     return " union all ".join(f"({p})" for p in parts)
 
 
-def p2_keys() -> str:
-    first = "min({'g': coalesce(num_carga, 2147483647), 's': coalesce(cast(num_tipo_if as varchar), '')})"
-    return f"(select num_if, x.s as estrato, x.g as carga, substr(sha256('amostra-1:' || num_if), 1, 13) as h, '{int(0.10 * 16**13):013x}' as limiar from (select num_if, {first} as x from instrumento_financeiro where num_if is not null group by 1))"
-
-
 REFS = [
     ("carteira_comitente", "num_id_entidade", "num_carteira_comitente", "comitente", "num_id_entidade", "dat_exclusao is null"),
     ("carteira_comitente", "num_conta", "num_carteira_comitente", "conta", "num_conta", "coalesce(trim(ind_excluido), '') not in ('S', 'Y', '1')"),
@@ -208,8 +203,6 @@ SQL = {
     "p1_padroes": p1_padroes(),
     "p1_mascaras_raras": p1_mascaras_raras(),
     "p1_divergencia": p1_divergencia(),
-    "p2_amostra": f"select * from {p2_keys()} where h < limiar",
-    "p2_limiares": f"select estrato, limiar, count(*) as chaves, count(*) filter (h < limiar) as escolhidas from {p2_keys()} group by 1, 2",
     "p3_found": p3_found(),
     "p3_periodos": f"select tabela, coluna, periodo, situacao, count(*) as n from ({p3_found()}) group by 1, 2, 3, 4",
     "p3_contagens": p3_contagens(),
