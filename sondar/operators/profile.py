@@ -1,8 +1,9 @@
 """Column-level data quality profile (problem 1): character-class masks per column and load.
 
 Values are generalised to masks (digits 9, upper case A, lower case a). Counting masks per column and load gives the
-dominant patterns, the rare ones (violations) and, between loads, how far their mask distributions diverge. Declared
-domains and formats narrow the dominant masks to legal ones; a value whose mask is legal is then checked exactly.
+dominant patterns, the rare ones (violations) and, between loads, how far their mask distributions diverge. Where a domain
+or format is declared, a value behind a dominant or declared mask is checked exactly too, and masks are split by what
+the declaration tells apart before loads are compared.
 """
 
 from __future__ import annotations
@@ -65,90 +66,119 @@ def rules_of(dominio: DataFrame, keys: dict[str, str]) -> list[Rule]:
     return [Rule(t, c, keys[t], codes=tuple(sorted(p.pop("codes"))), **p) for (t, c), p in sorted(parts.items()) if t in keys]
 
 
-def values(df: DataFrame, rule: Rule) -> DataFrame:
-    """chave, num_carga, valor (NULL if empty), mascara of one ruled column; codes without regard to case. No shuffle."""
-    v = filled(F.col(rule.column))
-    v = F.upper(v) if rule.codes else v
-    return df.select(F.col(rule.key).cast("bigint").alias("chave"), F.col(rule.load).cast("int").alias("num_carga"), v.alias("valor")).withColumn("mascara", mask(F.col("valor")))
+def values(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """coluna (table.column), num_carga, chave, valor (NULL if empty), mascara of a table's ruled columns, in one scan; codes without regard to case. No shuffle.
+
+    ``rules`` are those of one table, with one key and load.
+    """
+    text = [filled(F.col(r.column)) for r in rules]
+    each = F.array(*(F.struct(F.lit(f"{r.table}.{r.column}").alias("coluna"), (F.upper(v) if r.codes else v).alias("valor")) for r, v in zip(rules, text)))
+    rows = df.select(F.col(rules[0].load).cast("int").alias("num_carga"), F.col(rules[0].key).cast("bigint").alias("chave"), F.explode(each).alias("__e"))
+    return rows.select("__e.coluna", "num_carga", "chave", "__e.valor").withColumn("mascara", mask(F.col("valor")))
+
+
+def _per_rule(rules: list[Rule], make: Callable[[Rule], Column]) -> Column:
+    """``make`` of the row's rule: a branch a declared column."""
+    out = F.lit(None)
+    for r in rules:
+        out = F.when(F.col("coluna") == f"{r.table}.{r.column}", make(r)).otherwise(out)
+    return out
+
+
+def _declared(rule: Rule) -> Column:
+    """Whether the value's mask is one that the declaration allows."""
+    return F.col("mascara").isin(rule.masks())
+
+
+def _time(rule: Rule) -> Column:
+    """The time that a value of the declared form names; NULL if it is none."""
+    return F.try_to_timestamp(F.when(_declared(rule), F.col("valor")), F.lit(rule.pattern())).cast("timestamp_ntz")
+
+
+def _class(rule: Rule) -> Column:
+    """What a value counts as: '' if empty, the legal code, the day of a well-formed date, '?' if it is neither. It splits a declared mask by what the declaration tells apart."""
+    known = F.when(_declared(rule) & F.col("valor").isin(list(rule.codes)), F.col("valor")) if rule.codes else F.date_format(_time(rule), "yyyy-MM-dd")
+    return F.when(F.col("valor").isNull(), "").otherwise(F.coalesce(known, F.lit("?")))
 
 
-def _well_formed(rule: Rule) -> Column:
-    """The time a value names, if its mask is the declared one and it is a real date; else NULL."""
-    text = F.when(F.col("mascara").isin(rule.masks()), F.col("valor"))
-    return F.try_to_timestamp(text, F.lit(rule.pattern())).cast("timestamp_ntz")
+def class_counts(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """coluna, num_carga, mascara, grupo, n of rows as of ``values``: masks, split by what the declared domain tells apart."""
+    return rows.groupBy("coluna", "num_carga", "mascara", _per_rule(rules, _class).alias("grupo")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_cases(df: DataFrame, rule: Rule, loads: DataFrame) -> DataFrame:
-    """Rows whose value is illegal: chave, num_carga, achado (dominio, formato, faixa). Each row once.
+def value_cases(rows: DataFrame, counts: DataFrame, rules: list[Rule], loads: DataFrame, config: ProfileConfig) -> DataFrame:
+    """Rows (as of ``values``, each once) whose value is illegal: coluna, num_carga, chave, achado (dominio, formato, faixa).
 
-    A mask outside the legal ones is a case at once; behind a legal mask the value itself is checked. ``loads`` (a fixed
-    few rows: num_carga, dat_carga) bounds dates. A row without a load, or of an unknown one, has no upper bound.
+    The masks of each column over all loads are mined first (``counts``). A rare mask that the declaration does not know
+    is a violation by itself; a value behind a dominant or a declared mask is checked exactly: its code against the list,
+    its date against calendar and bounds. ``loads`` (a fixed few rows: num_carga, dat_carga) bounds dates. A row without a
+    load, or of an unknown one, has no upper bound.
     """
-    v = values(df, rule).where(F.col("valor").isNotNull())
-    off = ~F.col("mascara").isin(rule.masks())
-    if rule.codes:
-        bad = v.where(off | ~F.col("valor").isin(list(rule.codes))).withColumn("achado", F.lit("dominio"))
-    else:
-        v = v.withColumn("__at", _well_formed(rule))
-        if rule.to_load_date:
-            v = v.join(F.broadcast(loads.select("num_carga", F.col("dat_carga").cast("timestamp_ntz").alias("__most")).distinct()), "num_carga", "left")
-        least = F.col("__at") < F.lit(rule.least).cast("timestamp_ntz") if rule.least else F.lit(False)
-        most = F.coalesce(F.col("__at") > F.col("__most"), F.lit(False)) if rule.to_load_date else F.lit(False)
-        bad = v.withColumn("achado", F.when(off | F.col("__at").isNull(), "formato").when(least | most, "faixa")).where(F.col("achado").isNotNull())
-    return bad.select("chave", "num_carga", "achado", "valor").distinct().select("chave", "num_carga", "achado")
-
-
-def load_counts(df: DataFrame, rule: Rule) -> DataFrame:
-    """num_carga, grupo, n over rows counted once: grupo is the legal code, the day of a well-formed date, '' if empty or '?' if illegal."""
-    v = values(df, rule).drop("mascara").distinct().withColumn("mascara", mask(F.col("valor")))
-    if rule.codes:
-        ok = F.when(F.col("mascara").isin(rule.masks()) & F.col("valor").isin(list(rule.codes)), F.col("valor"))
-    else:
-        ok = F.date_format(_well_formed(rule), "yyyy-MM-dd")
-    group = F.when(F.col("valor").isNull(), "").otherwise(F.coalesce(ok, F.lit("?")))
-    return v.groupBy("num_carga", group.alias("grupo")).agg(F.count(F.lit(1)).alias("n"))
+    common = patterns(counts.groupBy("coluna", "num_carga", "mascara").agg(F.sum("n").alias("n"), F.lit(None).cast("string").alias("exemplo")), config).where("dominante").select("coluna", "mascara", F.lit(True).alias("__common"))
+    most = loads.select("num_carga", F.col("dat_carga").cast("timestamp_ntz").alias("__most")).groupBy("num_carga").agg(F.max("__most").alias("__most"))
+    # at most 1 / dominant masks a column, and a row a load
+    v = rows.where(F.col("valor").isNotNull()).join(F.broadcast(common), ["coluna", "mascara"], "left").join(F.broadcast(most), "num_carga", "left")
+    strange = F.col("__common").isNull()
+
+    def judge(r: Rule) -> Column:
+        off = strange & ~_declared(r)
+        if r.codes:
+            return F.when(off | ~F.col("valor").isin(list(r.codes)), "dominio")
+        least = F.col("__at") < F.lit(r.least).cast("timestamp_ntz") if r.least else F.lit(False)
+        late = F.coalesce(F.col("__at") > F.col("__most"), F.lit(False)) if r.to_load_date else F.lit(False)
+        return F.when(off | F.col("__at").isNull(), "formato").when(least | late, "faixa")
+
+    dated = [r for r in rules if not r.codes]
+    v = v.withColumn("__at", _per_rule(dated, _time) if dated else F.lit(None).cast("timestamp_ntz"))
+    return v.withColumn("achado", _per_rule(rules, judge)).where(F.col("achado").isNotNull()).select("coluna", "num_carga", "chave", "achado")
 
 
 def divergence(counts: DataFrame) -> DataFrame:
-    """num_carga, divergencia: half the sum of absolute differences between a load's shares of groups and all loads' shares.
+    """coluna, num_carga, divergencia: half the sum of absolute differences between a load's shares of groups and all loads' shares.
 
-    ``counts``: num_carga, grupo, n. Works on the counts alone; loads that miss a group count it as 0. Empty in, empty out.
+    ``counts``: coluna, num_carga, grupo, n. Works on the counts alone; loads that miss a group count it as 0. Empty in, empty out.
     """
-    totals = counts.groupBy("grupo").agg(F.sum("n").alias("__t"))
-    loads = counts.groupBy("num_carga").agg(F.sum("n").alias("__l"))
-    share_all = totals.withColumn("__p", F.col("__t") / F.sum("__t").over(Window.partitionBy(F.lit(0))))
+    totals = counts.groupBy("coluna", "grupo").agg(F.sum("n").alias("__m"))
+    whole = totals.groupBy("coluna").agg(F.sum("__m").alias("__t"))  # a row a column
+    loads = counts.groupBy("coluna", "num_carga").agg(F.sum("n").alias("__l"))
+    p = totals.join(F.broadcast(whole), "coluna").select("coluna", "grupo", (F.col("__m") / F.col("__t")).alias("__p"))
     # sum |p - q| over the groups of a load, plus p of the groups that it misses (1 - sum p of those it has)
-    at = counts.alias("c").join(loads.alias("l"), F.col("c.num_carga").eqNullSafe(F.col("l.num_carga"))).select("c.num_carga", "c.grupo", (F.col("c.n") / F.col("l.__l")).alias("__q"))
-    each = at.join(share_all.select("grupo", "__p"), "grupo").groupBy("num_carga").agg(F.sum(F.abs(F.col("__q") - F.col("__p"))).alias("__d"), F.sum("__p").alias("__have"))
-    return each.select("num_carga", ((F.col("__d") + 1 - F.col("__have")) / 2).alias("divergencia"))
-
-
-def load_cases(counts: DataFrame, rule: Rule, nulls: float = 0.15, mix: float = 0.30, day: float = 0.40, least: int = 10) -> DataFrame:
-    """num_carga, achado (nulos, distribuicao, concentracao) from a ruled column's ``load_counts``."""
-    n = F.col("n")
-    per = counts.groupBy("num_carga").agg(
-        (F.sum(F.when(F.col("grupo") == "", n).otherwise(0)) / F.sum(n)).alias("__empty"),
-        F.max(F.when(~F.col("grupo").isin("", "?"), n)).alias("__top"),
-        F.sum(F.when(~F.col("grupo").isin("", "?"), n)).alias("__formed"),
-    )
-    mid = per.withColumn("__mid", F.median("__empty").over(Window.partitionBy(F.lit(0))))  # a row a load
-    out = mid.where(F.abs(F.col("__empty") - F.col("__mid")) > nulls).select("num_carga", F.lit("nulos").alias("achado"))
-    if rule.codes:
-        far = divergence(counts.where(~F.col("grupo").isin("", "?"))).where(F.col("divergencia") > mix)
-        return out.unionByName(far.select("num_carga", F.lit("distribuicao").alias("achado")))
-    return out.unionByName(per.where((F.col("__formed") >= least) & (F.col("__top") / F.col("__formed") > day)).select("num_carga", F.lit("concentracao").alias("achado")))
+    q = counts.alias("c").join(loads.alias("l"), (F.col("c.coluna") == F.col("l.coluna")) & F.col("c.num_carga").eqNullSafe(F.col("l.num_carga"))).select("c.coluna", "c.num_carga", "c.grupo", (F.col("c.n") / F.col("l.__l")).alias("__q"))
+    each = q.join(p, ["coluna", "grupo"]).groupBy("coluna", "num_carga").agg(F.sum(F.abs(F.col("__q") - F.col("__p"))).alias("__d"), F.sum("__p").alias("__have"))
+    return each.select("coluna", "num_carga", ((F.col("__d") + 1 - F.col("__have")) / 2).alias("divergencia"))
+
 
+def load_cases(counts: DataFrame, rules: list[Rule], nulls: float = 0.15, mix: float = 0.30, day: float = 0.40, least: int = 10) -> DataFrame:
+    """coluna, num_carga, achado (nulos, distribuicao, concentracao) from ``class_counts``.
 
-def found(tables: dict[str, DataFrame], rules: list[Rule], loads: DataFrame, scratch: Scratch) -> DataFrame:
-    """tabela, coluna, achado, num_carga, chave: all value cases, and load cases with chave 0."""
-    parts = []
+    nulos: the share of the empty mask against the median load's. distribuicao: the divergence of the legal masks, each
+    split by code. concentracao: one day among the dates.
+    """
+    counts = counts.groupBy("coluna", "num_carga", "grupo").agg(F.sum("n").alias("n"))
+    n, named = F.col("n"), ~F.col("grupo").isin("", "?")
+    coded = [f"{r.table}.{r.column}" for r in rules if r.codes]
+    per = counts.groupBy("coluna", "num_carga").agg((F.sum(F.when(F.col("grupo") == "", n).otherwise(0)) / F.sum(n)).alias("__empty"), F.max(F.when(named, n)).alias("__top"), F.sum(F.when(named, n)).alias("__formed"))
+    mid = per.withColumn("__mid", F.median("__empty").over(Window.partitionBy("coluna")))  # a row a load
+    out = mid.where(F.abs(F.col("__empty") - F.col("__mid")) > nulls).select("coluna", "num_carga", F.lit("nulos").alias("achado"))
+    far = divergence(counts.where(named & F.col("coluna").isin(coded))).where(F.col("divergencia") > mix)
+    dense = per.where(~F.col("coluna").isin(coded) & (F.col("__formed") >= least) & (F.col("__top") / F.col("__formed") > day))
+    return out.unionByName(far.select("coluna", "num_carga", F.lit("distribuicao").alias("achado"))).unionByName(dense.select("coluna", "num_carga", F.lit("concentracao").alias("achado")))
+
+
+def found(tables: dict[str, DataFrame], rules: list[Rule], loads: DataFrame, scratch: Scratch, config: ProfileConfig | None = None) -> DataFrame:
+    """tabela, coluna, achado, num_carga, chave: all value cases, and load cases with chave 0.
+
+    Each table is scanned once, whatever its rules; repeated rows count once. No rules, or empty tables: no rows.
+    """
+    by_table: dict[str, list[Rule]] = {}
     for r in rules:
-        df = tables[r.table]
-        name = (F.lit(r.table).alias("tabela"), F.lit(r.column).alias("coluna"))
-        parts.append(value_cases(df, r, loads).select(*name, "achado", "num_carga", "chave"))
-        counts = scratch.keep(load_counts(df, r))  # a row a load and group, read several times
-        parts.append(load_cases(counts, r).select(*name, "achado", "num_carga", F.lit(0).cast("bigint").alias("chave")))
-    return reduce(DataFrame.unionByName, parts)
+        by_table.setdefault(r.table, []).append(r)
+    rows = scratch.keep(reduce(DataFrame.unionByName, (values(tables[t], rs) for t, rs in by_table.items())).distinct())
+    counts = scratch.keep(class_counts(rows, rules))
+    cases = value_cases(rows, counts, rules, loads, config or ProfileConfig())
+    both = cases.unionByName(load_cases(counts, rules).withColumn("chave", F.lit(0).cast("bigint")))
+    at = F.split(F.col("coluna"), r"\.")
+    return both.select(at[0].alias("tabela"), at[1].alias("coluna"), "achado", "num_carga", "chave")
 
 
 @dataclass(frozen=True)
@@ -195,13 +225,7 @@ def rare(counts: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFram
 
 def mask_divergence(counts: DataFrame) -> DataFrame:
     """coluna, num_carga, divergencia of a load's mask distribution from all loads' (half the sum of absolute differences), empty values as a mask."""
-    c = counts.withColumn("mascara", F.coalesce("mascara", F.lit("")))
-    total = c.groupBy("coluna").agg(F.sum("n").alias("__t"))
-    load = c.groupBy("coluna", "num_carga").agg(F.sum("n").alias("__l"))
-    p = c.groupBy("coluna", "mascara").agg(F.sum("n").alias("__m")).join(F.broadcast(total), "coluna").select("coluna", "mascara", (F.col("__m") / F.col("__t")).alias("__p"))
-    q = c.alias("c").join(load.alias("l"), (F.col("c.coluna") == F.col("l.coluna")) & F.col("c.num_carga").eqNullSafe(F.col("l.num_carga"))).select("c.coluna", "c.num_carga", "c.mascara", (F.col("c.n") / F.col("l.__l")).alias("__q"))
-    each = q.join(p, ["coluna", "mascara"]).groupBy("coluna", "num_carga").agg(F.sum(F.abs(F.col("__q") - F.col("__p"))).alias("__d"), F.sum("__p").alias("__have"))
-    return each.select("coluna", "num_carga", ((F.col("__d") + 1 - F.col("__have")) / 2).alias("divergencia"))
+    return divergence(counts.select("coluna", "num_carga", F.coalesce("mascara", F.lit("")).alias("grupo"), "n"))
 
 
 def column_profile(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
@@ -224,4 +248,4 @@ def column_profile(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> Da
     )
 
 
-__all__ = ["ProfileConfig", "Rule", "column_profile", "divergence", "found", "load_cases", "load_counts", "mask_counts", "mask_divergence", "patterns", "rare", "rules_of", "value_cases"]
+__all__ = ["ProfileConfig", "Rule", "class_counts", "column_profile", "divergence", "found", "load_cases", "mask_counts", "mask_divergence", "patterns", "rare", "rules_of", "value_cases", "values"]

@@ -170,27 +170,30 @@ def p1_perfil() -> str:
     from (select tabela, coluna, num_carga, v, count(*) as n from {_values()} group by 1, 2, 3, 4) group by 1, 2, 3"""
 
 
-def _masked() -> str:
+EXACT = ((r"\p{Lu}", "A"), (r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}]", "a"), (r"\p{Nd}", "9"))
+
+
+def _masked(exact: bool = False) -> str:
     m = "v"
-    for a, b in ((r"\p{Lu}+", "A"), (r"[\p{L}--A]+", "a"), (r"\p{Nd}+", "9"), (r"\s+", " "), ("[Aa]+ [Aa ]*[Aa]", "a a")):
+    for a, b in EXACT if exact else ((r"\p{Lu}+", "A"), (r"[\p{L}--A]+", "a"), (r"\p{Nd}+", "9"), (r"\s+", " "), ("[Aa]+ [Aa ]*[Aa]", "a a")):
         if "--" in a:
             a = r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}]+"
         m = f"regexp_replace({m}, '{a}', '{b}', 'g')"
     return f"(select tabela, coluna, num_carga, v, {m} as mascara from {_values()})"
 
 
-def p1_padroes() -> str:
+def p1_padroes(exact: bool = False) -> str:
     return f"""select tabela, coluna, mascara, n, exemplo, n / t as parte, n / t >= 0.01 as dominante from
-    (select *, sum(n) over (partition by tabela, coluna) as t from (select tabela, coluna, mascara, count(*) as n, min(v) as exemplo from {_masked()} where v is not null group by 1, 2, 3))"""
+    (select *, sum(n) over (partition by tabela, coluna) as t from (select tabela, coluna, mascara, count(*) as n, min(v) as exemplo from {_masked(exact)} where v is not null group by 1, 2, 3))"""
 
 
-def p1_mascaras_raras() -> str:
-    return f"""select tabela, coluna, num_carga, mascara, count(*) as n, min(v) as exemplo from {_masked()} m
-    where v is not null and (tabela, coluna, mascara) not in (select (tabela, coluna, mascara) from ({p1_padroes()}) where dominante) group by 1, 2, 3, 4"""
+def p1_mascaras_raras(exact: bool = False) -> str:
+    return f"""select tabela, coluna, num_carga, mascara, count(*) as n, min(v) as exemplo from {_masked(exact)} m
+    where v is not null and (tabela, coluna, mascara) not in (select (tabela, coluna, mascara) from ({p1_padroes(exact)}) where dominante) group by 1, 2, 3, 4"""
 
 
-def p1_divergencia() -> str:
-    c = f"(select tabela, coluna, num_carga, coalesce(mascara, '') as m, count(*) as n from {_masked()} group by 1, 2, 3, 4)"
+def p1_divergencia(exact: bool = False) -> str:
+    c = f"(select tabela, coluna, num_carga, coalesce(mascara, '') as m, count(*) as n from {_masked(exact)} group by 1, 2, 3, 4)"
     return f"""with c as {c}, p as (select tabela, coluna, m, sum(n) / sum(sum(n)) over (partition by tabela, coluna) as p from c group by 1, 2, 3),
     l as (select tabela, coluna, num_carga, sum(n) as t from c group by 1, 2, 3)
     select l.tabela, l.coluna, l.num_carga, round(sum(abs(coalesce(c.n, 0) / l.t - p.p)) / 2, 9) as divergencia from l join p on p.tabela = l.tabela and p.coluna = l.coluna
@@ -203,6 +206,9 @@ SQL = {
     "p1_padroes": p1_padroes(),
     "p1_mascaras_raras": p1_mascaras_raras(),
     "p1_divergencia": p1_divergencia(),
+    "p1_padroes_exatos": p1_padroes(True),
+    "p1_mascaras_raras_exatas": p1_mascaras_raras(True),
+    "p1_divergencia_exata": p1_divergencia(True),
     "p3_found": p3_found(),
     "p3_periodos": f"select tabela, coluna, periodo, situacao, count(*) as n from ({p3_found()}) group by 1, 2, 3, 4",
     "p3_contagens": p3_contagens(),

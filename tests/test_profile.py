@@ -22,17 +22,22 @@ def test_rules_from_domains(spark):
     assert CODES.masks() == ["AAA AAAAAA", "AAAAAAA"]
 
 
-def test_code_values(spark):
+def cases(df, rules, spark, scratch):
+    v = scratch.keep(profile.values(df, rules).distinct())
+    return profile.value_cases(v, profile.class_counts(v, rules), rules, loads(spark), profile.ProfileConfig())
+
+
+def test_code_values(spark, scratch):
     data = [(1, "mercado ", 1), (2, "MERCAD0", 1), (3, "MISTOOO", 1), (4, None, 1), (5, "  ", 1), (6, "\tCOM TABELA\n", None), (7, "COM  TABELA", None), (7, "COM  TABELA", None), (None, "X", 2)]
     df = spark.createDataFrame([(*r, "z", "z") for r in data], "k bigint, cod string, num_carga int, valor string, mascara string")
-    got = rows(profile.value_cases(df, CODES, loads(spark)))
+    got = rows(cases(df, [CODES], spark, scratch), "chave", "num_carga", "achado")
     assert got == sorted([(2, 1, "dominio"), (3, 1, "dominio"), (7, None, "dominio"), (None, 2, "dominio")], key=repr)
 
 
-def test_date_values(spark):
+def test_date_values(spark, scratch):
     data = ["2024-07-01 10:00:00", " 2024-07-01 10:00:00 ", "2024-02-30 00:00:00", "0000-00-00 00:00:00", "2024-07-01", "2024-07-01 24:00:00", "2015-12-31 23:59:59", "2016-01-01 00:00:00", "2024-08-02 00:00:00", "2024-08-02 00:00:01", "N/A", "", None, "2024-07-01T10:00:00", "2024-13-01 00:00:00", "2023-02-29 00:00:00", "2024-02-29 00:00:00"]
     df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(data)] + [(99, "2030-01-01 00:00:00", None)], "k bigint, dat string, num_carga int")
-    got = {r.chave: r.achado for r in profile.value_cases(df, DATES, loads(spark)).collect()}
+    got = {r.chave: r.achado for r in cases(df, [DATES], spark, scratch).collect()}
     assert got == {2: "formato", 3: "formato", 4: "formato", 5: "formato", 6: "faixa", 9: "faixa", 10: "formato", 13: "formato", 14: "formato", 15: "formato"}
 
 
@@ -46,12 +51,21 @@ def test_load_cases(spark, scratch):
             day = dt.date(2024, 7, 1) if load == 2 and i < 15 else dt.date(2024, 6, 1) + dt.timedelta(days=i)
             data.append((k, code, load, None if empty and load != 2 else f"{day} 00:00:00"))
     df = spark.createDataFrame(data + data[:7], "k bigint, cod string, num_carga int, dat string")
-    codes = rows(profile.load_cases(scratch.keep(profile.load_counts(df, CODES)), CODES))
+    rules = [CODES, DATES]
+    v = scratch.keep(profile.values(df, rules).distinct())
+    got = rows(profile.load_cases(scratch.keep(profile.class_counts(v, rules)), rules))
+    codes, dates = ([x[1:] for x in got if x[0] == c] for c in ("t.cod", "t.dat"))
     assert codes == [(3, "nulos"), (5, "distribuicao")]
-    dates = rows(profile.load_cases(scratch.keep(profile.load_counts(df, DATES)), DATES))
     assert (2, "concentracao") in dates and (3, "nulos") in dates and len([x for x in dates if x[1] == "concentracao"]) == 1
 
 
+def test_a_legal_code_behind_a_rare_mask_and_an_illegal_one_behind_a_common_mask(spark, scratch):
+    data = [(i, "MERCADO", 1) for i in range(400)] + [(900, "COM TABELA", 1), (901, "MERDACO", 1), (902, "M3RCADO", 1)]
+    df = spark.createDataFrame([(*r, None) for r in data], "k bigint, cod string, num_carga int, dat string")
+    got = rows(profile.found({"t": df}, [CODES, DATES], loads(spark), scratch))
+    assert got == [("t", "cod", "dominio", 1, 901), ("t", "cod", "dominio", 1, 902)]
+
+
 def test_found_on_nothing(spark, scratch):
     df = spark.createDataFrame([], "k bigint, cod string, dat string, num_carga int")
     assert profile.found({"t": df}, [CODES, DATES], loads(spark), scratch).collect() == []
