@@ -115,6 +115,11 @@ def p8_fontes(spark: SparkSession, d: str) -> DataFrame:
     return truncation.by_source(_judged(spark, d))
 
 
+def p8_comprimentos(spark: SparkSession, d: str) -> DataFrame:
+    """How many different texts of each source have each length, in each of the twelve ways of counting."""
+    return truncation.histogram(Scratch(spark, "p8").keep(truncation.prepared(table(spark, d, "documents"))))
+
+
 def p8_limites(spark: SparkSession, d: str) -> DataFrame:
     scratch = Scratch(spark, "p8")
     docs = scratch.keep(truncation.prepared(table(spark, d, "documents")))
@@ -123,7 +128,7 @@ def p8_limites(spark: SparkSession, d: str) -> DataFrame:
     return found.unionByName(blocks)
 
 
-QUERIES = {f.__name__: f for f in (p2_amostra, p2_limiares, p2_estratos, p2_elevada, p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_limites)}
+QUERIES = {f.__name__: f for f in (p2_amostra, p2_limiares, p2_estratos, p2_elevada, p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_comprimentos, p8_limites)}
 
 
 def _p2(fixed: str) -> str:
@@ -140,7 +145,29 @@ def _rates(rates: dict[str, float], default: float) -> str:
     return "case s " + " ".join(f"when '{s}' then {_hex(r)}" for s, r in rates.items()) + f" else {_hex(default)} end"
 
 
+BL = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+OUTER = BL + "".join(f" || chr({n})" for n in (0xA0, 0x85, 0x2007, 0x202F, 0x2028, 0x2029, 0x3000))
+
+
+def _p8_lengths() -> str:
+    times = lambda *signs: " + ".join(f"length(t) - length(replace(t, {s}, ''))" for s in signs)
+    above = lambda code: f"length(regexp_replace(t, '[\\x{{00}}-\\x{{{code:X}}}]', '', 'g'))"
+    nl, quote = times("chr(10)"), times("chr(34)")
+    xml = f"4 * ({times('chr(38)')}) + 3 * ({times('chr(60)', 'chr(62)')}) + 5 * ({quote}) + 4 * ({times('chr(39)')})"
+    entity = " + ".join([f"5 * {above(127)}", above(999), above(9999), above(99999)])
+    json = f"({times('chr(10)', 'chr(34)', 'chr(92)', 'chr(9)', 'chr(13)', 'chr(8)', 'chr(12)')})"
+    c, u = "length(t)", "strlen(t)"
+    ways = {
+        "caracteres": c, "utf8": u, "utf16": f"{c} + {above(65535)}", "crlf": f"{c} + {nl}", "crlf_utf8": f"{u} + {nl}", "xml": f"{c} + {xml}", "xml_utf8": f"{u} + {xml}",
+        "entidades": f"{c} + {entity}", "xml_entidades": f"{c} + {xml} + {entity}", "json": f"{c} + {json}", "json_utf8": f"{u} + {json}", "json_ascii": f"{c} + {json} + 5 * {above(127)} + 6 * {above(65535)}",
+    }
+    docs = f"(select distinct coalesce(lower(nullif(trim(source, {BL}), '')), '') as source, text as t, rtrim(text, {OUTER}) as e from documents where nullif(trim(text, {BL}), '') is not null)"
+    each = " union all ".join(f"select source, '{w}' as codificacao, e, {x} as n from {docs}" for w, x in ways.items())
+    return f"select source, codificacao, n, count(distinct e) as textos from ({each}) group by 1, 2, 3"
+
+
 SQL: dict[str, str] = {
+    "p8_comprimentos": _p8_lengths(),
     "p2_amostra": f"select * from {_p2(_hex(0.10))} where h < limiar",
     "p2_limiares": f"select estrato, limiar, count(*) as chaves, count(*) filter (h < limiar) as escolhidas from {_p2(_hex(0.10))} group by 1, 2",
     "p2_estratos": f"select * from {_p2(_rates({'49': 0.05, '81': 0.20, '': 0.50}, 0.10))} where h < limiar",

@@ -2,8 +2,10 @@
 
 A field limit shows as a heap of texts of one length, if the length is counted as the field's system counted it: in
 characters, bytes, after entity or JSON escaping, or with newlines as two signs. Lengths are recomputed in all of these
-and grouped by each; heaps at (or next to) the largest length, and heaps at multiples of a transfer block, are limits.
-Texts away from all limits show how each source's texts usually end; a text that ends in no such way breaks off.
+and grouped by each; heaps of lengths, and heaps at multiples of a transfer block, are limits. Texts away from all limits
+show how each source's texts usually end. A text at a limit is cut unless it ends in a sentence or as its own source's
+texts do; away from limits, where only a transfer can have cut it, endings known from other sources and known notes clear
+it too. What is no end of a sentence in spite of its full stop is learned from all texts: words after which they go on.
 """
 
 from __future__ import annotations
@@ -21,15 +23,13 @@ from ..operators.skew import sized_join
 
 #: Transfer blocks, in bytes (fixed values).
 BLOCKS = (512, 1024, 4096)
-#: Abbreviations after which a sentence goes on: a text that stops behind one stops inside a sentence (fixed values, lower case; pt, en, es).
-ABBREVIATIONS = (
-    "n", "nº", "no", "nr", "núm", "num", "art", "arts", "cf", "ref", "aprox", "approx", "cia", "s.a", "av", "sr", "sra", "srs", "dr", "dra", "prof",
-    "exmo", "ilmo", "pág", "págs", "pag", "p", "pp", "fl", "fls", "inc", "par", "cap", "vol", "obs", "tel", "venc", "mr", "mrs", "ms", "vs", "e.g", "i.e", "sec", "cl", "ex", "v",
-)
 #: Trailing blanks of any kind (fixed values).
 OUTER = BLANKS + "\u00a0\u0085\u2007\u202f\u2028\u2029\u3000"
-#: What a system or a person puts behind a break (fixed values).
-MARKS = r"(\.\.\.|…|\(\.\.\.\)|\[\.\.\.\]|\(…\)|\[…\]|\x{FFFD}|\((?i:continua|cont\.|truncado|truncated|cortado)\)|\[(?i:continua|cont\.|truncado|truncated|cortado)\])\s*$"
+#: Signs that stand for what is missing: an ellipsis, bracketed or not, and the sign of a character that could not be read (fixed values).
+MARKS = r"([.]{2,}|\x{2026}|\x{FFFD})[)\]]?$"
+#: A short word with a full stop, and what follows it.
+WORD = r"(?<![\p{L}\p{N}])(\p{L}[\p{L}.\x{BA}]{0,5}[.](?:[,;:]|\s+[^\s]))"
+LAST_WORD = r"(?<![\p{L}\p{N}])(\p{L}[\p{L}.\x{BA}]{0,5})[.]$"
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,8 @@ class TruncationConfig:
 
     usual: an ending is usual in its source from this share of its different texts on (and from two different texts on).
     note: a note that is a single text is known as such if it came so often or more, beside its other signs.
+    goes_on: a word is known to go on behind its full stop if, in so many different texts or more, no sentence begins
+    there at least as often as one does; or, seen in ``often`` texts or more, if it ends a text at most ``ends`` as often.
     """
 
     heap: float = 4.0
@@ -46,6 +48,9 @@ class TruncationConfig:
     around: int = 8
     usual: float = 0.001
     note: int = 3
+    goes_on: int = 2
+    often: int = 100
+    ends: float = 0.005
 
 
 def _count(text: Column, *signs: str) -> Column:
@@ -59,16 +64,18 @@ def _count(text: Column, *signs: str) -> Column:
 def lengths(text: Column) -> dict[str, Column]:
     """The text's length under each way of counting it: from a few counts of signs and the part beyond ASCII, in the JVM."""
     chars, utf8 = F.length(text), F.octet_length(text)
-    beyond = F.regexp_replace(text, r"[\x00-\x7F]+", "")
+    # one pass over the text; all that any way of counting treats as special is left, and is short
+    odd = F.regexp_replace(text, r"""[ !#-%(-;=?-\[\]-~\x00-\x07\x0B\x0E-\x1F\x7F]+""", "")
+    beyond = F.regexp_replace(odd, r"[\x00-\x7F]+", "")
     plain = F.length(beyond)
     far = F.length(F.regexp_replace(beyond, r"[\x{80}-\x{3E7}]+", ""))  # of these, those whose decimal number has four digits or more
     five = F.length(F.regexp_replace(beyond, r"[\x{80}-\x{270F}]+", ""))
     six = F.length(F.regexp_replace(beyond, r"[\x{80}-\x{1869F}]+", ""))
     astral = F.length(F.regexp_replace(beyond, r"[\x{80}-\x{FFFF}]+", ""))
-    newlines, quote = _count(text, "\n"), _count(text, '"')
-    xml = 4 * _count(text, "&") + 3 * _count(text, "<", ">") + 5 * quote + 4 * _count(text, "'")
+    newlines, quote = _count(odd, "\n"), _count(odd, '"')
+    xml = 4 * _count(odd, "&") + 3 * _count(odd, "<", ">") + 5 * quote + 4 * _count(odd, "'")
     entity = 5 * plain + far + five + six  # &#233; and longer ones
-    json = newlines + quote + _count(text, "\\", "\t", "\r", "\x08", "\x0c")
+    json = newlines + quote + _count(odd, "\\", "\t", "\r", "\x08", "\x0c")
     return {
         "caracteres": chars,
         "utf8": utf8,
@@ -94,51 +101,71 @@ def prepared(documents: DataFrame) -> DataFrame:
     return kept.select("doc_id", "source", sizes, "brancos", F.xxhash64("__end").alias("impressao"), *(c.alias(k) for k, c in endings(F.col("__end")).items()))
 
 
+def generalised(text: Column) -> Column:
+    """Lower case, with figures and codes in general classes that keep their lengths, so that a part of one is not taken for a whole one.
+
+    Whole parts of decimal numbers are 9; digits are 9 each, from five in a row on 9+; letters and digits mixed in a word
+    are x each.
+    """
+    t = F.lower(text)
+    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}.])\p{Nd}{1,3}(?:[.]\p{Nd}{3})*(?=,\p{Nd})", "9")
+    t = F.regexp_replace(t, r"\p{L}(?=\p{L}*\p{Nd})|(?<=\p{Nd}\p{L}{0,20})\p{L}", "x")
+    t = F.regexp_replace(t, r"\p{Nd}(?=\p{Nd}*x)|(?<=x\p{Nd}{0,20})\p{Nd}", "x")
+    return F.regexp_replace(F.regexp_replace(t, r"\p{Nd}{5,}", "9+"), r"\p{Nd}", "9")
+
+
 def endings(end: Column) -> dict[str, Column]:
     """What a text without trailing blanks ends in.
 
-    marca: a mark of a break; frase: a full stop, question or exclamation mark, but not behind an abbreviation, inside
-    an open bracket or inside a tag; raiz: the closing tag of the root element; final: the last four words of what
-    follows the last end of a sentence or line, with figures and codes generalised; nota: a hash of the whole text in this
-    form, NULL if a sentence or line comes before its last one; curta: whether such a text is no longer than ``final``.
+    marca: a sign that stands for what is missing; fecho: a full stop, question or exclamation mark, but not inside an open
+    bracket or a tag; ultima: the short word before a full stop at the end, '' if there is none; raiz: the closing tag of
+    the root element; final: the last four words of what follows the last end of a sentence or line, generalised; nota: a
+    hash of the whole text in this form, NULL if a sentence or line comes before its last one; curta: whether such a text
+    is no longer than ``final``; classe: one of 64 classes of ``final``; seguem: the short words with a full
+    stop inside the text, and whether it goes on behind them with a comma, a figure or a small letter.
     """
-    abbreviation = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
     line = F.substring_index(end, "\n", -1)
-    segment = F.regexp_replace(line, r"(?s)^.*[.!?]\s+(?=[\p{Lu}(\[<¿¡])", "")
-    t = F.lower(segment)
-    for pattern, sign in (
-        (r"\d{2}/\d{2}/\d{4}", "<data>"),
-        (r"\d{1,3}(\.\d{3})*,\d{2}(?!\d)", "<valor>"),
-        (r"\d{5}\.\d{2}-\d(?!\d)", "<conta>"),
-        (r"\d+/\d{4}(?!\d)", "<ref>"),
-        (r"\b[a-z]{3}(?=[0-9a-z]*[0-9])[0-9a-z]{7}\b", "<cod>"),
-        (r"\d+", "9"),
-    ):
-        t = F.regexp_replace(t, pattern, sign)
+    segment = F.regexp_replace(line, r"(?s)^.*[.!?]\s+(?=[\p{Lu}(\[<\xBF\xA1])", "")
+    t = generalised(segment)
     tail = F.regexp_extract(t, r"((?:\S+\s+){0,3}\S+)\s*$", 1)
     # a bracket opened in the last line and not closed
-    open_ = F.length(F.regexp_replace(line, r"[^(]", "")) > F.length(F.regexp_replace(line, r"[^)]", ""))
+    open_ = F.length(F.regexp_replace(line, r"[^(]+", "")) > F.length(F.regexp_replace(line, r"[^)]+", ""))
     start = F.ltrim(end, F.lit(BLANKS))
     markup = F.startswith(start, F.lit("<"))
     alone = F.ltrim(segment, F.lit(BLANKS)) == start
     root = F.when(markup, F.regexp_extract(start, r"^<([\p{L}_][^\s>/]*)", 1))
+    words = F.array_distinct(F.regexp_extract_all(end, F.lit(WORD), F.lit(1)))
     return {
         "marca": line.rlike(MARKS),
-        "frase": line.rlike(r"[.!?][\"'”»)]?$") & ~line.rlike(rf"(?i)(^|[\s(\[\"'])({abbreviation})\.$") & ~open_ & ~markup,
+        "fecho": line.rlike(r"[.!?][\"'\x{201D}\xBB)]?$") & ~line.rlike(MARKS) & ~open_ & ~markup,
+        "ultima": F.lower(F.regexp_extract(line, LAST_WORD, 1)),
         "marcado": markup,
         "raiz": F.coalesce((root != "") & F.endswith(end, F.concat(F.lit("</"), root, F.lit(">"))), F.lit(False)),
         "final": tail,
         "nota": F.when(alone, F.xxhash64(F.ltrim(t, F.lit(BLANKS)))),
         "curta": alone & (tail == F.ltrim(t, F.lit(BLANKS))),
+        "classe": F.pmod(F.xxhash64(tail), F.lit(64)).cast("int"),
+        "seguem": F.array_distinct(F.transform(words, lambda w: F.struct(F.regexp_replace(F.lower(w), r"[.](?:[,;:]|\s+[^\s])$", "").alias("palavra"), w.rlike(r"([.][,;:]|[\p{Ll}\p{Nd}])$").alias("segue")))),
     }
 
 
+def going_on(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
+    """ultima: short words after whose full stop texts go on (abbreviations), learned from all different texts of all sources."""
+    inside = docs.select("impressao", F.explode("seguem").alias("__s")).select("impressao", F.col("__s.palavra").alias("ultima"), F.col("__s.segue").cast("int").alias("k"))
+    at_end = docs.where(F.col("fecho") & (F.col("ultima") != "")).select("impressao", "ultima", F.lit(2).alias("k"))
+    once = inside.unionByName(at_end).groupBy("ultima", "k", "impressao").agg(F.lit(1).alias("__one"))
+    n = once.groupBy("ultima").agg(*(F.count_if(F.col("k") == k).alias(name) for k, name in enumerate(("up", "go", "end"))))
+    seen = F.col("go") + F.col("up")
+    known = ((F.col("go") >= config.goes_on) & (F.col("go") >= F.col("up"))) | ((seen >= config.often) & (F.col("end") <= config.ends * seen))
+    return n.where(known).select("ultima")
+
+
 def _exploded(docs: DataFrame, ways: list[str]) -> DataFrame:
     """source, codificacao, n, k (different texts of that length), finais: into how many of 64 classes their endings fall.
 
     Copies of a text count once, also if other blanks behind it give them other lengths in some way of counting.
     """
-    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(final), 64) as int))")
+    bit = F.expr("shiftleft(1L, classe)")
     texts = docs.groupBy("source", "impressao", bit.alias("__b")).agg(F.collect_set("tamanhos").alias("__sizes"))
     each = F.flatten(F.array(*(F.transform(F.array_distinct(F.transform("__sizes", lambda x: x[w])), lambda n: F.struct(F.lit(w).alias("codificacao"), n.alias("n"))) for w in ways)))  # noqa: B023 - called at once
     long = texts.select("source", "__b", F.explode(each).alias("__e")).select("source", "__b", "__e.codificacao", "__e.n")
@@ -165,6 +192,11 @@ def limits(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> Da
     return c.where(heap).select("source", "codificacao", F.col("n").alias("limite"), F.col("k").alias("textos"), F.col("__near").alias("vizinhos"))
 
 
+def histogram(docs: DataFrame) -> DataFrame:
+    """source, codificacao, n, textos: how many different texts of each source have each length, in every way of counting it."""
+    return _exploded(docs, list(docs.schema["tamanhos"].dataType.names)).select("source", "codificacao", "n", F.col("k").alias("textos"))
+
+
 def block_limits(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
     """source, codificacao, bloco, textos (different ones), esperados: lengths in bytes that are multiples of a transfer block more often than chance."""
     ways = ["utf8", "crlf_utf8", "caracteres"]
@@ -194,7 +226,7 @@ def at_limit(docs: DataFrame, found: DataFrame, blocks: DataFrame, scratch: Scra
 
 
 def _free(docs: DataFrame) -> DataFrame:
-    """source, final, nota, curta, impressao, copias of the different texts that are at no limit, carry no mark and end in no sentence, comma or abbreviation."""
+    """source, final, nota, curta, impressao, copias of the different texts that are at no limit, carry no mark and end neither in a sentence nor at a comma or a word that goes on."""
     free = docs.where(~F.col("no_limite") & ~F.col("marca") & ~F.col("frase") & ~F.col("marcado") & ~F.col("final").rlike("[.,;:(]$"))
     return free.groupBy("source", "final", "nota", "curta", "impressao").agg(F.count(F.lit(1)).alias("copias"))
 
@@ -203,7 +235,7 @@ def usual_endings(docs: DataFrame, config: TruncationConfig = TruncationConfig()
     """source, final, textos (different ones): how a source's texts end that are at no limit, carry no mark and end in no sentence: closings, signatures, short notes.
 
     Usual is what several different texts end in: a cut text is no usual ending, however often it was sent. What stops
-    at a comma or behind an abbreviation is never usual. Endings usual in some source, with three different texts or
+    at a comma or a full stop is never usual. Endings usual in some source, with three different texts or
     more, hold for texts of any source too (source '*'): a small source shows few of its own, an empty one none.
     """
     per = _free(docs).groupBy("source", "final").agg(F.count(F.lit(1)).alias("textos"))
@@ -227,19 +259,24 @@ def notes(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> Dat
 def judged(documents: DataFrame, scratch: Scratch, config: TruncationConfig = TruncationConfig()) -> DataFrame:
     """doc_id, source, cortado, no_limite, marca of every text that isn't empty.
 
-    cortado: the text carries a mark of a break, or ends neither with its root's closing tag, nor in a sentence, nor in
-    a way usual for its source, nor is it a known note. Empty texts are no cases and are left out; trailing blanks mean nothing. The same text
-    under two ids is two texts. No documents, no rows.
+    cortado: the text carries a mark of a break, or ends neither with its root's closing tag, nor in a sentence, nor in a
+    way usual for its source; away from all limits, a way usual in other sources or a known note will do as well. Empty
+    texts are no cases and are left out; trailing blanks mean nothing. The same text under two ids is two texts. No
+    documents, no rows.
     """
     docs = scratch.keep(prepared(documents))
-    docs = scratch.keep(at_limit(docs, limits(docs, config), block_limits(docs, config), scratch))
+    words = going_on(docs, config).withColumn("__goes_on", F.lit(True))
+    placed = at_limit(docs.drop("seguem"), limits(docs, config), block_limits(docs, config), scratch)
+    placed = sized_join(placed, words, ["ultima"], "left", ["doc_id"], scratch)
+    docs = scratch.keep(placed.withColumn("frase", F.col("fecho") & F.col("__goes_on").isNull()).drop("__goes_on", "fecho", "tamanhos"))
     usual = scratch.keep(usual_endings(docs, config))
     # one row an ending: the sources in which it is usual
     usual = usual.groupBy("final").agg(F.collect_set("source").alias("__in"))
     joined = sized_join(docs, usual, ["final"], "left", ["doc_id"], scratch)
     joined = sized_join(joined, notes(docs, config).withColumn("__note", F.lit(True)), ["nota"], "left", ["doc_id"], scratch)
-    usual_here = F.array_contains("__in", "*") | F.array_contains("__in", F.col("source"))
-    whole = F.when(F.col("marcado"), F.col("raiz")).otherwise(F.col("frase") | F.coalesce(usual_here, F.lit(False)) | F.coalesce("__note", F.lit(False)))
+    here = F.coalesce(F.array_contains("__in", F.col("source")), F.lit(False))
+    elsewhere = F.coalesce(F.array_contains("__in", "*"), F.lit(False)) | F.coalesce("__note", F.lit(False))
+    whole = F.when(F.col("marcado"), F.col("raiz")).otherwise(F.col("frase") | here | (~F.col("no_limite") & elsewhere))
     return joined.select("doc_id", "source", (F.col("marca") | ~whole).alias("cortado"), "no_limite", "marca")
 
 

@@ -1,6 +1,8 @@
 import json
 import random
 
+from pyspark.sql import functions as F
+
 from sondar.llm import truncation
 
 
@@ -75,10 +77,39 @@ ENDINGS = [
 ]
 
 
+#: Texts that show which words go on behind their full stop.
+TEACHERS = ["Cf. correspondência anexa, ref. contrato n. 12, item 3.", "Segue a ref. contrato n. 77, nos termos do art. 5 do manual.", "O mesmo vale (cf. item 3), nos termos do art. 6 do manual."]
+
+
 def test_endings(spark, scratch):
-    df = spark.createDataFrame([(i, t, f"f{i}") for i, (t, _) in enumerate(ENDINGS)], "doc_id bigint, text string, source string")
+    rows = [(i, t, f"f{i}") for i, (t, _) in enumerate(ENDINGS)] + [(1000 + i, t, "escola") for i, t in enumerate(TEACHERS)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {r.ultima for r in truncation.going_on(truncation.prepared(df)).collect()} == {"ref", "n", "art", "cf"}
     got = {r.doc_id: r.cortado for r in truncation.judged(df, scratch).collect()}
     assert [(t, got[i]) for i, (t, _) in enumerate(ENDINGS)] == ENDINGS
+    assert not any(got[1000 + i] for i in range(len(TEACHERS)))
+
+
+def test_general_classes_keep_lengths(spark):
+    texts = ["CDB708MMNW", "CDB708MMN", "R$ 1.234.567,89", "R$ 70.315,3", "27/12/2023", "27/12/20", "conta 25496.00-2", "item 123456 e 12", "ABC"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(truncation.generalised(F.col("t")).alias("g"))
+    assert [r.g for r in df.collect()] == ["xxxxxxxxxx", "xxxxxxxxx", "r$ 9,99", "r$ 9,9", "99/99/9999", "99/99/99", "conta 9+.99-9", "item 9+ e 99", "abc"]
+
+
+def test_words_that_go_on_are_learned_from_different_texts(spark):
+    rows = [(i, "Nada a opor ao fim. 25 itens seguem.", "f") for i in range(500)] + [(1000 + i, f"Linha {i}: chegou ao fim. Outra frase, cap. {i} do manual.", "f") for i in range(9)]
+    got = truncation.going_on(truncation.prepared(spark.createDataFrame(rows, "doc_id bigint, text string, source string")))
+    assert {r.ultima for r in got.collect()} == {"cap"}
+
+
+def test_at_a_limit_other_sources_endings_do_not_count(spark, scratch):
+    rng = random.Random(11)
+    end = " fora do prazo"
+    rows = [(i, sentence(rng) + "\nSegue" + end, "g") for i in range(9)] + [(100, sentence(rng) + " Segue" + end, "f")]
+    body = [" ".join(sentence(rng) for _ in range(9)) for _ in range(40)]
+    rows += [(200 + i, t[:255], "f") for i, t in enumerate(body)] + [(300, body[0][: 255 - len(end) - 6] + " segue" + end, "f")]
+    got = {r.doc_id: r for r in truncation.judged(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), scratch).collect()}
+    assert not got[100].cortado and got[300].no_limite and got[300].cortado
 
 
 def test_a_cut_text_sent_again_is_no_usual_ending(spark, scratch):
