@@ -27,9 +27,10 @@ BLOCKS = (512, 1024, 4096)
 OUTER = BLANKS + "\u00a0\u0085\u2007\u202f\u2028\u2029\u3000"
 #: Signs that stand for what is missing: an ellipsis, bracketed or not, and the sign of a character that could not be read (fixed values).
 MARKS = r"([.]{2,}|\x{2026}|\x{FFFD})[)\]]?$"
-#: A short word with a full stop, and what follows it.
-WORD = r"(?<![\p{L}\p{N}])(\p{L}[\p{L}.\x{BA}]{0,5}[.](?:[,;:]|\s+[^\s]))"
-LAST_WORD = r"(?<![\p{L}\p{N}])(\p{L}[\p{L}.\x{BA}]{0,5})[.]$"
+#: A short word, looked for backwards from a full stop.
+BEFORE = r"(?<=(?<![\p{L}\p{N}.])(\p{L}[\p{L}.\x{BA}]{0,5})[.])"
+#: Full stops behind which a text goes on, those behind which a sentence may begin, and the last one.
+GOES_ON, STARTS, LAST = r"[.](?=[,;:]|\s+[\p{Ll}\p{Nd}])" + BEFORE, r"[.](?=\s+[^\s\p{Ll}\p{Nd}])" + BEFORE, r"[.]$" + BEFORE
 
 
 @dataclass(frozen=True)
@@ -97,8 +98,10 @@ def prepared(documents: DataFrame) -> DataFrame:
     text = F.col("text")
     base = documents.select("doc_id", F.coalesce(F.lower(filled(F.col("source"))), F.lit("")).alias("source"), "text").where(filled(text).isNotNull())
     kept = base.withColumn("__end", F.rtrim(text, F.lit(OUTER))).withColumn("brancos", F.length(text) - F.length("__end"))
+    for name, c in steps().items():  # each computed once
+        kept = kept.withColumn(name, c)
     sizes = F.struct(*(v.cast("int").alias(k) for k, v in lengths(text).items())).alias("tamanhos")
-    return kept.select("doc_id", "source", sizes, "brancos", F.xxhash64("__end").alias("impressao"), *(c.alias(k) for k, c in endings(F.col("__end")).items()))
+    return kept.select("doc_id", "source", sizes, "brancos", F.xxhash64("__end").alias("impressao"), *(c.alias(k) for k, c in endings().items()))
 
 
 def generalised(text: Column) -> Column:
@@ -109,12 +112,24 @@ def generalised(text: Column) -> Column:
     """
     t = F.lower(text)
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}.])\p{Nd}{1,3}(?:[.]\p{Nd}{3})*(?=,\p{Nd})", "9")
-    t = F.regexp_replace(t, r"\p{L}(?=\p{L}*\p{Nd})|(?<=\p{Nd}\p{L}{0,20})\p{L}", "x")
-    t = F.regexp_replace(t, r"\p{Nd}(?=\p{Nd}*x)|(?<=x\p{Nd}{0,20})\p{Nd}", "x")
+    x = F.regexp_replace(t, r"\p{L}(?:(?=\p{L}*\p{Nd})|(?<=\p{Nd}\p{L}{1,21}))", "x")
+    x = F.regexp_replace(x, r"\p{Nd}(?:(?=\p{Nd}*x)|(?<=x\p{Nd}{1,21}))", "x")
+    t = F.when(t.rlike(r"\p{L}\p{Nd}|\p{Nd}\p{L}"), x).otherwise(t)
     return F.regexp_replace(F.regexp_replace(t, r"\p{Nd}{5,}", "9+"), r"\p{Nd}", "9")
 
 
-def endings(end: Column) -> dict[str, Column]:
+def steps() -> dict[str, Column]:
+    """What the endings are read from, each from the one before: the last line, what follows the last end of a sentence in it, that generalised."""
+    return {
+        "__line": F.substring_index("__end", "\n", -1),
+        "__segment": F.ltrim(F.regexp_replace("__line", r"(?s)^.*[.!?]\s+(?=[\p{Lu}(\[<\xBF\xA1])", ""), F.lit(BLANKS)),
+        "__general": generalised(F.col("__segment")),
+        "__tail": F.regexp_replace("__general", r"(?s)^.*\s(?=\S+\s+\S+\s+\S+\s+\S+$)", ""),
+        "__start": F.ltrim("__end", F.lit(BLANKS)),
+    }
+
+
+def endings() -> dict[str, Column]:
     """What a text without trailing blanks ends in.
 
     marca: a sign that stands for what is missing; fecho: a full stop, question or exclamation mark, but not inside an open
@@ -122,36 +137,33 @@ def endings(end: Column) -> dict[str, Column]:
     the root element; final: the last four words of what follows the last end of a sentence or line, generalised; nota: a
     hash of the whole text in this form, NULL if a sentence or line comes before its last one; curta: whether such a text
     is no longer than ``final``; classe: one of 64 classes of ``final``; seguem: the short words with a full
-    stop inside the text, and whether it goes on behind them with a comma, a figure or a small letter.
+    stop inside the text, k = 1 where it goes on behind them with a comma, a figure or a small letter, else 0.
     """
-    line = F.substring_index(end, "\n", -1)
-    segment = F.regexp_replace(line, r"(?s)^.*[.!?]\s+(?=[\p{Lu}(\[<\xBF\xA1])", "")
-    t = generalised(segment)
-    tail = F.regexp_extract(t, r"((?:\S+\s+){0,3}\S+)\s*$", 1)
+    end, line, t, tail, start = (F.col(c) for c in ("__end", "__line", "__general", "__tail", "__start"))
+    last = F.substring(line, -12, 12)  # all that the patterns of an end can reach
     # a bracket opened in the last line and not closed
-    open_ = F.length(F.regexp_replace(line, r"[^(]+", "")) > F.length(F.regexp_replace(line, r"[^)]+", ""))
-    start = F.ltrim(end, F.lit(BLANKS))
+    open_ = F.octet_length(F.replace(line, F.lit("("), F.lit(""))) < F.octet_length(F.replace(line, F.lit(")"), F.lit("")))
     markup = F.startswith(start, F.lit("<"))
-    alone = F.ltrim(segment, F.lit(BLANKS)) == start
+    alone = F.col("__segment") == start
     root = F.when(markup, F.regexp_extract(start, r"^<([\p{L}_][^\s>/]*)", 1))
-    words = F.array_distinct(F.regexp_extract_all(end, F.lit(WORD), F.lit(1)))
+    words = lambda pattern, k: F.transform(F.array_distinct(F.regexp_extract_all(end, F.lit(pattern), F.lit(1))), lambda w: F.struct(F.lower(w).alias("palavra"), F.lit(k).alias("k")))
     return {
-        "marca": line.rlike(MARKS),
-        "fecho": line.rlike(r"[.!?][\"'\x{201D}\xBB)]?$") & ~line.rlike(MARKS) & ~open_ & ~markup,
-        "ultima": F.lower(F.regexp_extract(line, LAST_WORD, 1)),
+        "marca": last.rlike(MARKS),
+        "fecho": last.rlike(r"[.!?][\"'\x{201D}\xBB)]?$") & ~last.rlike(MARKS) & ~open_ & ~markup,
+        "ultima": F.lower(F.regexp_extract(last, LAST, 1)),
         "marcado": markup,
         "raiz": F.coalesce((root != "") & F.endswith(end, F.concat(F.lit("</"), root, F.lit(">"))), F.lit(False)),
         "final": tail,
-        "nota": F.when(alone, F.xxhash64(F.ltrim(t, F.lit(BLANKS)))),
-        "curta": alone & (tail == F.ltrim(t, F.lit(BLANKS))),
+        "nota": F.when(alone, F.xxhash64(t)),
+        "curta": alone & (tail == t),
         "classe": F.pmod(F.xxhash64(tail), F.lit(64)).cast("int"),
-        "seguem": F.array_distinct(F.transform(words, lambda w: F.struct(F.regexp_replace(F.lower(w), r"[.](?:[,;:]|\s+[^\s])$", "").alias("palavra"), w.rlike(r"([.][,;:]|[\p{Ll}\p{Nd}])$").alias("segue")))),
+        "seguem": F.concat(words(STARTS, 0), words(GOES_ON, 1)),
     }
 
 
 def going_on(docs: DataFrame, config: TruncationConfig = TruncationConfig()) -> DataFrame:
     """ultima: short words after whose full stop texts go on (abbreviations), learned from all different texts of all sources."""
-    inside = docs.select("impressao", F.explode("seguem").alias("__s")).select("impressao", F.col("__s.palavra").alias("ultima"), F.col("__s.segue").cast("int").alias("k"))
+    inside = docs.select("impressao", F.explode("seguem").alias("__s")).select("impressao", F.col("__s.palavra").alias("ultima"), "__s.k")
     at_end = docs.where(F.col("fecho") & (F.col("ultima") != "")).select("impressao", "ultima", F.lit(2).alias("k"))
     once = inside.unionByName(at_end).groupBy("ultima", "k", "impressao").agg(F.lit(1).alias("__one"))
     n = once.groupBy("ultima").agg(*(F.count_if(F.col("k") == k).alias(name) for k, name in enumerate(("up", "go", "end"))))
