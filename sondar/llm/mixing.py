@@ -3,12 +3,13 @@
 The mixture is q proportional to p ** (1 - a) * w ** a, where p are the sources' own token shares and w the target
 weights (all equal if there are none): a = 0 keeps the natural mix, a = 1 meets the targets. The exponent a is bisected
 to the largest that a repetition limit allows under the budget, or to a target entropy. Each source then gives its
-share of the budget: whole passes over all of its documents, each in an order of its own, and a last pass as far as the
-budget goes; documents are dealt to blocks so that every block holds the mixture.
+share of the budget: whole passes over all of its documents, each over the source's blocks in a permutation of its own,
+and a last pass as far as the budget goes; documents are dealt to blocks of the mixture so that each of those holds it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -21,6 +22,10 @@ from ..operators.prefix import PART_ROWS, even_hash, running
 from ..operators.scratch import Scratch
 
 
+#: Documents that a block of a source should have: blocks are what a pass permutes.
+BLOCK_DOCS = 64
+
+
 @dataclass(frozen=True)
 class Source:
     """A source with a target: its documents, tokens, weight and highest number of uses of a document."""
@@ -74,7 +79,7 @@ def mixture(sources: list[Source], budget: float | None = None, entropy: float |
     """
     if entropy is not None:
         def h(a: float) -> float:
-            return -sum(q * math.log(q) for q in blend(sources, a).values() if q > 0)
+            return entropy_of(blend(sources, a))
 
         up = h(1.0) >= h(0.0)
         exponent = _bisect(lambda a: h(a) <= entropy if up else h(a) >= entropy, 0.0, 1.0)
@@ -87,6 +92,11 @@ def mixture(sources: list[Source], budget: float | None = None, entropy: float |
     return Mixture(exponent, min(budget, most) if budget is not None else most, share)
 
 
+def entropy_of(share: dict[str, float]) -> float:
+    """The entropy of normalised weights, in nats."""
+    return -sum(q * math.log(q) for q in share.values() if q > 0)
+
+
 def sources_of(docs: DataFrame, targets: DataFrame) -> list[Source]:
     """Documents and tokens of every source that has a target; ``targets`` (source, peso_alvo, max_repeticoes) is metadata of a few rows."""
     name = F.lower(filled(F.col("source")))
@@ -102,42 +112,52 @@ def usable(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.lower(filled(F.col("source"))).alias("source"), "tokens").where(F.col("source").isNotNull() & (F.col("tokens") > 0))
 
 
+def _permutation(salt: str, source: str, use: int, bits: int) -> tuple[int, int]:
+    """A permutation x -> (a x + c) mod 2**bits of a source's blocks, of its own for every use: a is odd, so no two blocks meet."""
+    seed = int.from_bytes(hashlib.sha256(f"{salt}:{source}:{use}".encode()).digest()[:16], "big")
+    mask = (1 << bits) - 1
+    return (seed & mask) | 1, (seed >> 64) & mask
+
+
 def collect_mixture(docs: DataFrame, sources: list[Source], mix: Mixture, scratch: Scratch, block_tokens: int = 1_000_000, salt: str = "mistura-1") -> DataFrame:
     """source, doc_id, passagem, bloco, posicao, tokens: the documents of the mixture, each use a row.
 
-    Within a source and pass, documents come in the order of a salted hash (ties by doc_id); posicao is the number of
-    tokens of the source before it. Documents are taken as long as they fit in the source's share; then one more of
-    those left, whose length comes nearest to the rest. bloco runs over the whole mixture, about ``block_tokens`` each. A
-    document without tokens, or of a source without a target, is in no mixture. Empty in, empty out.
+    A salted hash deals a source's documents to blocks of about ``BLOCK_DOCS`` and orders them within; every pass takes the
+    blocks in a permutation of its own (ties by doc_id). posicao is the number of tokens of the source before a document.
+    Documents are taken as long as they fit in the source's share; then one more of those left, whose length comes nearest
+    to the rest. bloco runs over the whole mixture, about ``block_tokens`` each. A document without tokens, or of a source
+    without a target, is in no mixture. Empty in, empty out.
     """
-    by = {s.name: s for s in sources}
-    goal = {k: mix.budget * q for k, q in mix.share.items() if q > 0 and mix.budget > 0}
-    passes = {k: min(by[k].limit, math.ceil(g / by[k].tokens - 1e-9)) for k, g in goal.items()}
-
-    def per_source(values: dict[str, float | int], kind: str):
-        out = F.lit(None).cast(kind)
-        for k, v in values.items():
-            out = F.when(F.col("source") == k, F.lit(v).cast(kind)).otherwise(out)
-        return out
-
-    uses = docs.where(F.col("source").isin(list(goal))).select("source", "doc_id", "tokens", F.explode(F.sequence(F.lit(1), per_source(passes, "int"))).alias("passagem"))
-    hashed = uses.withColumn("__h", even_hash(F.lit(salt), "passagem", "doc_id"))
-    parts = per_source({k: max(1, -(-by[k].docs // PART_ROWS)) for k in goal}, "bigint")
-    placed = running(hashed, ["source", "passagem"], "__h", ["doc_id"], F.col("tokens"), parts, scratch, "__start")
-    at = F.col("__start") + (F.col("passagem") - 1) * per_source({k: by[k].tokens for k in goal}, "bigint")
-    placed = scratch.keep(placed.select("source", "doc_id", "passagem", "tokens", "__h", at.alias("posicao")))
-    due = per_source(goal, "double")
-    inside = F.col("posicao") + F.col("tokens") <= due
-    kept = placed.where(inside).drop("__h")
-    used = {r.source: r.t for r in kept.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}  # a row a source with a target
+    rows = []
+    for s in sources:
+        goal = mix.budget * mix.share.get(s.name, 0.0)
+        if goal <= 0 or not s.tokens:
+            continue
+        bits = min(30, max(0, math.ceil(math.log2(max(1, s.docs / BLOCK_DOCS)))))
+        for use in range(1, min(s.limit, math.ceil(goal / s.tokens - 1e-9)) + 1):
+            rows.append((s.name, use, goal, (use - 1) * s.tokens, max(1, -(-s.docs // PART_ROWS)), bits, *_permutation(salt, s.name, use, bits)))
+    # metadata: a row a source with a target and use of it
+    plan = docs.sparkSession.createDataFrame(rows, "source string, passagem int, __due double, __before bigint, __parts bigint, __bits int, __a bigint, __c bigint")
+    uses = docs.select("source", "doc_id", "tokens").join(F.broadcast(plan), "source").withColumn("__h0", even_hash(F.lit(salt), "doc_id"))
+    # 52 bits: the block, then the place within it
+    width = F.lit(52) - F.col("__bits")
+    block = F.call_function("shiftright", F.col("__h0"), width)
+    moved = F.call_function("shiftleft", (F.col("__a") * block + F.col("__c")) % F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("__bits")), width)
+    hashed = uses.withColumn("__h", moved + F.col("__h0") - F.call_function("shiftleft", block, width)).drop("__h0", "__bits", "__a", "__c")
+    placed = running(hashed, ["source", "passagem"], "__h", ["doc_id"], F.col("tokens"), F.col("__parts"), scratch, "__start")
+    placed = scratch.keep(placed.select("source", "doc_id", "passagem", "tokens", "__h", "__due", (F.col("__start") + F.col("__before")).cast("bigint").alias("posicao")))
+    inside = F.col("posicao") + F.col("tokens") <= F.col("__due")
+    kept = placed.where(inside)
+    used = kept.groupBy("source").agg(F.sum("tokens").alias("__used"))  # a row a source with a target
     # one more use fills what is left best: the one whose length is nearest to it
-    gap = due - F.coalesce(per_source(used, "double"), F.lit(0.0))
+    left = placed.where(~inside).join(F.broadcast(used), "source", "left").withColumn("__used", F.coalesce("__used", F.lit(0)).cast("bigint"))
+    gap = F.col("__due") - F.col("__used")
     off = F.abs(gap - F.col("tokens"))
-    last = placed.where(~inside & (off < gap)).groupBy("source").agg(F.min(F.struct(off.alias("o"), "__h", "doc_id", "passagem", "tokens")).alias("__b"))
-    filler = last.select("source", "__b.doc_id", "__b.passagem", "__b.tokens", F.coalesce(per_source(used, "bigint"), F.lit(0)).cast("bigint").alias("posicao"))
+    last = left.where(off < gap).groupBy("source").agg(F.min(F.struct(off.alias("o"), "__h", "doc_id", "passagem", "tokens", F.col("__used").alias("posicao"), "__due")).alias("__b"))
+    filler = last.select("source", "__b.doc_id", "__b.passagem", "__b.tokens", "__b.posicao", "__b.__due")
     blocks = max(1, math.ceil(mix.budget / block_tokens))
-    block = F.least(F.floor(F.col("posicao") / due * blocks), F.lit(blocks - 1)).cast("int")
-    return kept.unionByName(filler).select("source", "doc_id", "passagem", block.alias("bloco"), "posicao", "tokens")
+    block_no = F.least(F.floor(F.col("posicao") / F.col("__due") * blocks), F.lit(blocks - 1)).cast("int")
+    return kept.drop("__h").unionByName(filler).select("source", "doc_id", "passagem", block_no.alias("bloco"), "posicao", "tokens")
 
 
 def report(chosen: DataFrame, sources: list[Source], mix: Mixture) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import filled
 from ..operators.scratch import Scratch
 from ..sources.tables import table
 from . import mixing, packing, sampling, tokens, truncation
@@ -87,15 +88,16 @@ def p6_conferencia(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-def _mixed(spark: SparkSession, d: str):
+def _mixed(spark: SparkSession, d: str, choose=mixing.mixture):
     scratch = Scratch(spark, "p7")
     docs = scratch.keep(mixing.usable(tokens.sized(table(spark, d, "documents"), "doc_id", "text", ["source"])))
     sources = mixing.sources_of(docs, table(spark, d, "fonte_alvo"))
-    mix = mixing.mixture(sources)
+    mix = choose(sources)
     return mixing.collect_mixture(docs, sources, mix, scratch), sources, mix
 
 
 def p7_colecao(spark: SparkSession, d: str) -> DataFrame:
+    """The targets themselves (exponent 1), as large as the limits allow."""
     return _mixed(spark, d)[0]
 
 
@@ -103,6 +105,31 @@ def p7_fontes(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(*_mixed(spark, d))
 
 
+def p7_fontes_orcamento(spark: SparkSession, d: str) -> DataFrame:
+    """The report of a collection as large as all documents together: the exponent is bisected to the largest that the limits of repetition allow under this budget."""
+    return mixing.report(*_mixed(spark, d, lambda sources: mixing.mixture(sources, budget=float(sum(s.tokens for s in sources)))))
+
+
+def p7_fontes_entropia(spark: SparkSession, d: str) -> DataFrame:
+    """The report of a collection whose entropy lies half way between that of the documents and that of the targets: the exponent is bisected to it."""
+
+    def half_way(sources):
+        natural, target = (mixing.entropy_of(mixing.blend(sources, a)) for a in (0.0, 1.0))
+        return mixing.mixture(sources, entropy=(natural + target) / 2)
+
+    return mixing.report(*_mixed(spark, d, half_way))
+
+
+def p7_conferencia(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the collection, per source with a target: uses above the limit, documents of another source, and whether its tokens are further from its share than its longest document."""
+    chosen, sources, mix = _mixed(spark, d)
+    own = table(spark, d, "documents").select("doc_id", F.lower(filled(F.col("source"))).alias("__source"))
+    per = chosen.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("u"), F.sum("tokens").alias("t"), F.max("tokens").alias("m")).join(own, "doc_id")
+    plan = spark.createDataFrame([(s.name, s.limit, mix.budget * mix.share.get(s.name, 0.0)) for s in sources], "source string, limite int, meta double")
+    used = plan.join(per, "source", "left").groupBy("source", "meta").agg(F.count_if(F.col("u") > F.col("limite")).alias("usos_acima_do_limite"), F.count_if(F.col("__source") != F.col("source")).alias("documentos_de_outra_fonte"), F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.max("m"), F.lit(0)).alias("m"))
+    return used.select("source", "usos_acima_do_limite", "documentos_de_outra_fonte", (F.abs(F.col("t") - F.col("meta")) > F.col("m")).alias("longe_da_meta"))
+
+
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     return truncation.judged(table(spark, d, "documents"), Scratch(spark, "p8"))
 
@@ -128,7 +155,7 @@ def p8_limites(spark: SparkSession, d: str) -> DataFrame:
     return found.unionByName(blocks)
 
 
-QUERIES = {f.__name__: f for f in (p2_amostra, p2_limiares, p2_estratos, p2_elevada, p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p8_found, p8_fontes, p8_comprimentos, p8_limites)}
+QUERIES = {f.__name__: f for f in (p2_amostra, p2_limiares, p2_estratos, p2_elevada, p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p7_fontes_orcamento, p7_fontes_entropia, p7_conferencia, p8_found, p8_fontes, p8_comprimentos, p8_limites)}
 
 
 def _p2(fixed: str) -> str:
@@ -167,6 +194,7 @@ def _p8_lengths() -> str:
 
 
 SQL: dict[str, str] = {
+    "p7_conferencia": f"select distinct lower(nullif(trim(source, {BL}), '')) as source, 0 as usos_acima_do_limite, 0 as documentos_de_outra_fonte, false as longe_da_meta from fonte_alvo where nullif(trim(source, {BL}), '') is not null",
     "p8_comprimentos": _p8_lengths(),
     "p2_amostra": f"select * from {_p2(_hex(0.10))} where h < limiar",
     "p2_limiares": f"select estrato, limiar, count(*) as chaves, count(*) filter (h < limiar) as escolhidas from {_p2(_hex(0.10))} group by 1, 2",

@@ -60,3 +60,22 @@ def test_odd_cases(spark, scratch):
     src = mixing.sources_of(d, targets)
     out = mixing.collect_mixture(d, src, mixing.mixture(src), scratch)
     assert sorted((r.doc_id, r.passagem) for r in out.collect()) == [("3", 1), ("3", 2)]
+
+
+def test_blocks_are_permuted_anew_in_every_pass(spark, scratch, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 4)
+    d = docs(spark, {"a": [10] * 200, "b": [10] * 100})
+    src = mixing.sources_of(d, spark.createDataFrame([("a", 0.4, 1), ("b", 0.6, 3)], "source string, peso_alvo double, max_repeticoes int"))
+    out = mixing.collect_mixture(d, src, mixing.mixture(src), scratch)
+    order = {p: [r.doc_id for r in out.where(f"source = 'b' and passagem = {p}").orderBy("posicao").collect()] for p in (1, 2, 3)}
+    assert all(sorted(o) == sorted(order[1]) and len(o) == 100 for o in order.values()) and order[1] != order[2] != order[3]
+    # blocks move as they are: most neighbours stay neighbours
+    pairs = [{*zip(o, o[1:])} for o in order.values()]
+    assert len(pairs[0] & pairs[1]) > 50
+    assert [r.posicao for r in out.where("source = 'b'").orderBy("posicao").collect()] == list(range(0, 3000, 10))
+
+
+def test_the_permutations_are_permutations():
+    for bits in range(9):
+        a, c = mixing._permutation("s", "f", 2, bits)
+        assert sorted((a * x + c) % (1 << bits) for x in range(1 << bits)) == list(range(1 << bits))
