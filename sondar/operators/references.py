@@ -3,7 +3,8 @@
 Every change is a delta: a referring row adds 1 to its key's references, its exclusion takes 1 away; a target row adds
 1 to its key's existence and its exclusion takes 1 away. Keys with positive references and no existence are the current
 orphans. A key that exists, but whose first active row came after a referring row, had no existence at that time.
-Deltas add up, so a later batch is folded into the state without reading earlier rows again.
+Deltas add up, so a later batch is merged into the state without reading earlier rows again; counts are kept by time
+there, so that a retraction restores the first time that is left.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from .skew import sized_join
 #: Stands for "no known date of inclusion": such a target row always existed.
 ALWAYS = "0001-01-01 00:00:00"
 STATE = ("__ref", "__key")
+COUNTS = ("refs", "active", "ever")
 
 
 @dataclass(frozen=True)
@@ -58,23 +60,46 @@ def referring(df: DataFrame, refs: list[Reference]) -> DataFrame:
     )
 
 
+def _deltas(ref: Column, at: Column, **counts: Column) -> list[Column]:
+    """Columns of a delta: __ref, __key, at (the time the row counts from) and the signed counts refs, active, ever."""
+    zero = F.lit(0).cast("bigint")
+    return [ref.alias("__ref"), F.col("__key"), at.cast("timestamp_ntz").alias("at"), *(counts.get(c, zero).cast("bigint").alias(c) for c in COUNTS)]
+
+
 def reference_deltas(rows: DataFrame) -> DataFrame:
     """Deltas of referring rows (as of ``referring``): +1 reference for its key."""
-    return rows.where(F.col("__key").isNotNull()).select(*STATE, F.lit(1).cast("bigint").alias("refs"), F.lit(0).cast("bigint").alias("active"), F.lit(0).cast("bigint").alias("ever"), F.lit(None).cast("timestamp_ntz").alias("first_active"), F.col("__born").cast("timestamp_ntz").alias("first_ref"))
+    return rows.where(F.col("__key").isNotNull()).select(*_deltas(F.col("__ref"), F.col("__born"), refs=F.lit(1)))
 
 
 def existence_deltas(df: DataFrame, ref: Reference) -> DataFrame:
     """Deltas of target rows: +1 existence, and -1 again where the row is excluded; ``ever`` counts the rows there were."""
     gone = F.coalesce(F.expr(ref.target_excluded), F.lit(False))
     born = F.coalesce(F.col(ref.target_born).cast("timestamp_ntz"), F.lit(ALWAYS).cast("timestamp_ntz"))
-    zero = F.lit(0).cast("bigint")
-    return df.select(F.lit(f"{ref.table}.{ref.column}").alias("__ref"), whole_key(F.col(ref.target_key)).alias("__key"), zero.alias("refs"), (F.lit(1) + F.when(gone, -1).otherwise(0)).cast("bigint").alias("active"), F.lit(1).cast("bigint").alias("ever"), F.when(~gone, born).alias("first_active"), F.lit(None).cast("timestamp_ntz").alias("first_ref")).where(F.col("__key").isNotNull())
+    return df.withColumn("__key", whole_key(F.col(ref.target_key))).where(F.col("__key").isNotNull()).select(*_deltas(F.lit(f"{ref.table}.{ref.column}"), born, active=F.lit(1) - F.when(gone, 1).otherwise(0), ever=F.lit(1)))
+
+
+def retracted(deltas: DataFrame) -> DataFrame:
+    """The deltas that undo ``deltas``: of rows that were deleted, or whose earlier form a change replaces."""
+    return deltas.select(*STATE, "at", *((-F.col(c)).alias(c) for c in COUNTS))
+
+
+def excluded(deltas: DataFrame) -> DataFrame:
+    """The deltas of excluding rows that ``deltas`` brought in: no reference and no existence any more, but the rows were there."""
+    return deltas.select(*STATE, "at", (-F.col("refs")).alias("refs"), (-F.col("active")).alias("active"), F.lit(0).cast("bigint").alias("ever"))
+
+
+def merge(*deltas: DataFrame) -> DataFrame:
+    """The state after all of ``deltas`` (deltas, or earlier states): signed counts per key and time, so that anything counted can be taken back. One shuffle, combined before it."""
+    every = reduce(DataFrame.unionByName, deltas)
+    sums = every.groupBy(*STATE, "at").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    return sums.where(reduce(lambda x, y: x | y, (F.col(c) != 0 for c in COUNTS)))
 
 
 def fold(*deltas: DataFrame) -> DataFrame:
-    """The state after all of ``deltas`` (deltas, or states of earlier folds): sums per key. One shuffle, combined before it."""
+    """Counts per key, with the first times of existence and of reference: of a state (as of ``merge``), or straight of deltas without any retraction, as those of a snapshot are. One shuffle, combined before it."""
     every = reduce(DataFrame.unionByName, deltas)
-    return every.groupBy(*STATE).agg(F.sum("refs").alias("refs"), F.sum("active").alias("active"), F.sum("ever").alias("ever"), F.min("first_active").alias("first_active"), F.min("first_ref").alias("first_ref"))
+    first = lambda c: F.min(F.when(F.col(c) > 0, F.col("at")))
+    return every.groupBy(*STATE).agg(*(F.sum(c).alias(c) for c in COUNTS), first("active").alias("first_active"), first("refs").alias("first_ref"))
 
 
 def orphan_keys(state: DataFrame) -> DataFrame:

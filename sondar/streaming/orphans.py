@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.references import fold
+from ..operators.references import fold, merge, orphan_keys
 
 
 def current(spark: SparkSession, state: str) -> DataFrame | None:
@@ -21,7 +21,10 @@ def current(spark: SparkSession, state: str) -> DataFrame | None:
 
 
 def apply_batch(batch: DataFrame, number: int, state: str) -> None:
-    """Folds a batch of deltas into the state: batch ``number`` is written from the one before it. Run again, it writes the same."""
+    """Merges a batch of deltas into the state: batch ``number`` is written from the one before it. Run again, it writes the same.
+
+    States before the last whole one are deleted, so that two are kept at most.
+    """
     from ..sources.publish import Files
 
     spark = batch.sparkSession
@@ -30,8 +33,19 @@ def apply_batch(batch: DataFrame, number: int, state: str) -> None:
         return
     old = current(spark, state)
     files.delete(f"{state}/batch-{number}")
-    fold(batch if old is None else old.unionByName(batch)).write.parquet(f"{state}/batch-{number}")
+    (merge(batch) if old is None else merge(old, batch)).write.parquet(f"{state}/batch-{number}")
     files.create(f"{state}/done-{number}", "")
+    names = [p.getPath().getName() for p in files.fs.listStatus(files.path(state))]
+    done = sorted(int(n.removeprefix("done-")) for n in names if n.startswith("done-"))
+    for n in names:
+        if n.startswith("batch-") and int(n.removeprefix("batch-")) not in done[-2:]:
+            files.delete(f"{state}/{n}")
+
+
+def orphans_now(spark: SparkSession, state: str) -> DataFrame | None:
+    """The keys that are referred to and don't exist, now or at the time of their first reference."""
+    df = current(spark, state)
+    return None if df is None else orphan_keys(fold(df))
 
 
 def maintain(deltas: DataFrame, state: str, checkpoint: str) -> StreamingQuery:

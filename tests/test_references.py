@@ -71,15 +71,16 @@ def test_folding_in_batches_is_folding_at_once(spark, tmp_path):
     ex = references.existence_deltas(f["t"], REF)
     whole = rows(references.fold(ref, ex))
     parts = ref.unionByName(ex).randomSplit([0.3, 0.3, 0.4], seed=1)
-    state = references.fold(parts[0])
+    state = references.merge(parts[0])
     for p in parts[1:]:
-        state = references.fold(state, p)
-    assert rows(state) == whole
+        state = references.merge(state, p)
+    assert rows(references.fold(state)) == whole
     # a stream of the same deltas, in batches, one of which comes twice
     for i, p in enumerate(parts):
         stream.apply_batch(p, i, str(tmp_path / "state"))
     stream.apply_batch(parts[1], 1, str(tmp_path / "state"))
-    assert rows(stream.current(spark, str(tmp_path / "state"))) == whole
+    assert rows(references.fold(stream.current(spark, str(tmp_path / "state")))) == whole
+    assert len(list((tmp_path / "state").glob("batch-*"))) == 2
 
 
 def test_stream(spark, tmp_path):
@@ -89,4 +90,24 @@ def test_stream(spark, tmp_path):
     deltas.repartition(3).write.parquet(str(tmp_path / "in"))
     q = stream.maintain(spark.readStream.schema(deltas.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "ck"))
     q.awaitTermination(120)
-    assert rows(stream.current(spark, str(tmp_path / "state"))) == rows(references.fold(deltas))
+    assert rows(references.fold(stream.current(spark, str(tmp_path / "state")))) == rows(references.fold(deltas))
+
+
+def test_insert_delete_insert_in_a_stream_is_the_snapshot(spark, tmp_path):
+    children, targets = sample(random.Random(6), 200)
+    f = frames(spark, children, targets)
+    refs = references.reference_deltas(references.referring(f["c"], [REF]))
+    ex = references.existence_deltas(f["t"], REF)
+    half, rest = refs.unionByName(ex).randomSplit([0.5, 0.5], seed=2)
+    early = ex.where("active = 1").selectExpr("__ref", "__key", "timestamp_ntz '2001-01-01 00:00:00' as at", "refs", "active", "ever")
+    at = str(tmp_path / "state")
+    # rows come, among them some that are taken back later, and some that come, go and come again
+    for i, d in enumerate((half.unionByName(early), rest.unionByName(references.retracted(half)), references.retracted(early), half)):
+        stream.apply_batch(d, i, at)
+    assert rows(references.fold(stream.current(spark, at))) == rows(references.fold(refs, ex))
+    assert rows(stream.orphans_now(spark, at)) == rows(references.orphan_keys(references.fold(refs, ex)))
+    # a row that is excluded later is the same as one that came excluded
+    one = spark.createDataFrame([("9", dt.datetime(2024, 1, 1), None, 0)], "k string, born timestamp_ntz, off string, `key` int")
+    gone = one.selectExpr("k", "born", "'S' as off", "key")
+    now = references.merge(references.existence_deltas(one, REF), references.excluded(references.existence_deltas(one, REF)))
+    assert rows(references.fold(now)) == rows(references.fold(references.existence_deltas(gone, REF)))
