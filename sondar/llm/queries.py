@@ -106,8 +106,8 @@ def p7_fontes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_fontes_orcamento(spark: SparkSession, d: str) -> DataFrame:
-    """The report of a collection as large as all documents together: the exponent is bisected to the largest that the limits of repetition allow under this budget."""
-    return mixing.report(*_mixed(spark, d, lambda sources: mixing.mixture(sources, budget=float(sum(s.tokens for s in sources)))))
+    """The report of a collection half as large as all documents with a target: the exponent is bisected to the largest that the limits of repetition allow under this budget."""
+    return mixing.report(*_mixed(spark, d, lambda sources: mixing.mixture(sources, budget=sum(s.tokens for s in sources) / 2)))
 
 
 def p7_fontes_entropia(spark: SparkSession, d: str) -> DataFrame:
