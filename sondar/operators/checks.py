@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,7 @@ def column_checks(df: DataFrame, not_null: list[str], decimals: Mapping[str, tup
     """The row conditions that break a column's rule: NULL where none may be, |v| >= 10^(p-s), more characters than allowed. Columns that the table lacks are left out."""
     have = {c.upper(): c for c in df.columns}
     out = {("not_null", c): F.col(have[c.upper()]).isNull() for c in not_null if c.upper() in have}
-    out |= {("decimal_domain", c): F.abs(F.col(have[c.upper()])) >= F.lit(10.0) ** (p - s) for c, (p, s) in decimals.items() if c.upper() in have}
+    out |= {("decimal_domain", c): F.abs(F.col(have[c.upper()])) >= F.lit(Decimal(10) ** (p - s) if p - s < 38 else 1e38) for c, (p, s) in decimals.items() if c.upper() in have}
     return out | {("varchar_domain", c): F.length(have[c.upper()]) > n for c, n in texts.items() if c.upper() in have}
 
 

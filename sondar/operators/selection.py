@@ -8,8 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.catalog import ClonePlan, TableSpec
+from .closure import ROOT, closure
 from .keys import norm_key
 from .scratch import Scratch
+from .skew import salted_join
 
 
 def rank_hash(key: Column, seed: str) -> Column:
@@ -85,3 +88,49 @@ def choose(candidates: DataFrame, key: str, n: int, seed: str, reject, scratch:
         got = scratch.keep(fine if got is None else got.unionByName(fine))
         have = got.count()
     return got.orderBy("posto", key).limit(n).select(key)
+
+
+def admission(tables: Mapping[str, DataFrame], plans: Mapping[str, ClonePlan], specs: Mapping[str, TableSpec], root: str, target: Mapping[str, DataFrame], scratch: Scratch):
+    """The ``reject`` of ``choose`` for cloning into a target: keys -> those whose closure has a row that refers to nothing.
+
+    The closure of the offered roots is built; every foreign key of its rows must name a row cloned with the same root, or
+    a row of ``target`` (key frames of the parents that are there, by table; one that is missing there has no rows). NULL
+    in any part of a reference names nothing and is fine.
+    """
+    key = plans[root].pk[0]
+
+    def text(cols) -> Column:
+        parts = [norm_key(F.col(c)) for c in cols]
+        return F.when(reduce(lambda a, b: a & b, (p.isNotNull() for p in parts)), F.concat_ws("|", *parts)).alias("key")
+
+    def reject(offer: DataFrame) -> DataFrame:
+        prov = closure(tables, plans, root, offer, scratch)
+        refs = {}
+        for t, p in plans.items():
+            cols = list(dict.fromkeys([*p.pk, *(c for fk in specs[t].fks for c in fk.columns)]))
+            rows = salted_join(tables[t].select(*cols), prov[t].select(*p.pk, ROOT), list(p.pk), "inner", cols) if t != root else tables[t].select(*cols).join(prov[t], list(p.pk))
+            for fk in specs[t].fks:
+                own = prov[fk.parent].select(ROOT, text(fk.parent_columns)) if fk.parent in prov else offer.sparkSession.createDataFrame([], f"{ROOT} {dict(offer.dtypes)[offer.columns[0]]}, key string")
+                there = target[fk.parent].select(text(fk.parent_columns)) if fk.parent in target else offer.sparkSession.createDataFrame([], "key string")
+                refs[f"{t}.{','.join(fk.columns)}"] = (rows.select(ROOT, text(fk.columns)), own, there)
+        return rejected(prov[root], refs).select(F.col(ROOT).alias(key)).distinct()
+
+    return reject
+
+
+def source_filters(df: DataFrame, equal: Mapping[str, object] = {}, above: Mapping[str, object] = {}, null: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """The rows that fulfil all filters, and a note for each filter whose column the table lacks, which is passed over."""
+    have = {c.upper(): c for c in df.columns}
+    notes = []
+    for columns, make in ((equal, lambda c, v: F.col(c) == F.lit(v)), (above, lambda c, v: F.col(c) > F.lit(v)), (dict.fromkeys(null), lambda c, _: F.col(c).isNull())):
+        for c, v in columns.items():
+            if c.upper() in have:
+                df = df.where(make(have[c.upper()], v))
+            else:
+                notes.append(f"{c}: no such column, filter passed over")
+    return df, notes
+
+
+def bernoulli(df: DataFrame, key: str, share: float, seed: str) -> DataFrame:
+    """Each key with probability ``share``, by a hash of it in place of a random number: the same on any run and layout."""
+    return df.where(F.substring(rank_hash(F.col(key), seed), 1, 13) < F.lit(format(int(share * 16**13), "013x")))

@@ -37,13 +37,15 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 
 
 def coverage(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
-    """coluna, cobertura: the share of a's range (0 to 1) that b's range covers; NULL if a has no range. NaN counts as NULL."""
+    """coluna, cobertura: the share of a's range (0 to 1) that b's range covers; a single value of a is covered wholly or not at all, and without values it is NULL. NaN counts as NULL."""
     def ends(df: DataFrame, side: str) -> DataFrame:
         v = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
         return df.agg(*(x for i, c in enumerate(v) for x in (F.min(c).alias(f"{side}lo{i}"), F.max(c).alias(f"{side}hi{i}"))))
 
     one = beside(ends(a, "a"), ends(b, "b"))
-    part = lambda i: F.try_divide(F.greatest(F.least(F.col(f"ahi{i}"), F.col(f"bhi{i}")) - F.greatest(F.col(f"alo{i}"), F.col(f"blo{i}")), F.lit(0.0)), F.col(f"ahi{i}") - F.col(f"alo{i}"))
+    point = lambda i: F.when(F.col(f"alo{i}") == F.col(f"ahi{i}"), F.col(f"alo{i}").between(F.col(f"blo{i}"), F.col(f"bhi{i}")).cast("double"))
+    range_ = lambda i: F.try_divide(F.greatest(F.least(F.col(f"ahi{i}"), F.col(f"bhi{i}")) - F.greatest(F.col(f"alo{i}"), F.col(f"blo{i}")), F.lit(0.0)), F.col(f"ahi{i}") - F.col(f"alo{i}"))
+    part = lambda i: F.coalesce(point(i), range_(i))
     return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("coluna"), part(i).alias("cobertura")) for i, c in enumerate(columns)))))
 
 

@@ -80,14 +80,16 @@ def waves(needs: Mapping[str, Iterable[str]]) -> list[str]:
     return out
 
 
-def load_order(tables: list[str], specs: Mapping[str, TableSpec]) -> list[str]:
-    """``tables`` with parents before children, in the given order where that leaves a choice; a circle raises."""
+def load_order(tables: list[str], specs: Mapping[str, TableSpec], strict: bool = False) -> list[str]:
+    """``tables`` with parents before children, in the given order where that leaves a choice. What is on or behind a circle comes last in the given order, or raises if ``strict``."""
     needs = {t: {fk.parent for fk in specs[t].fks if fk.parent in tables and fk.parent != t} if t in specs else set() for t in tables}
     out: list[str] = []
     while len(out) < len(tables):
         free = next((t for t in tables if t not in out and needs[t] <= set(out)), None)
-        if free is None:
+        if free is None and strict:
             raise ValueError(f"circle among {sorted(set(tables) - set(out))}")
+        if free is None:
+            return out + [t for t in tables if t not in out]
         out.append(free)
     return out
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators import checks, clone, closure, dates, keys, prefix, preflight, repair, selection, shape, similarity, stats
-from ..operators.scratch import Scratch, folder
+from ..operators.scratch import Scratch
 from ..operators.skew import salted_join
 from ..plans import catalog
 from ..sources import catalogue, publish
@@ -493,6 +491,85 @@ def admission_rejected(spark, d):
     return selection.rejected(prov, {"num_conta": (child, batch, target)}).select(F.col("__root").alias("num_if"), "fk")
 
 
+SALES = {
+    "REGION": {"pk_cols": ["R_REGIONKEY"], "static": True},
+    "NATION": {"pk_cols": ["N_NATIONKEY"], "static": True, "fks": [{"columns": ["N_REGIONKEY"], "parent_table": "REGION", "parent_columns": ["R_REGIONKEY"]}]},
+    "CUSTOMER": {"pk_cols": ["C_CUSTKEY"], "fks": [{"columns": ["C_NATIONKEY"], "parent_table": "NATION", "parent_columns": ["N_NATIONKEY"]}]},
+    "ORDERS": {"pk_cols": ["O_ORDERKEY"], "fks": [{"columns": ["C_CUSTKEY"], "parent_table": "CUSTOMER", "parent_columns": ["C_CUSTKEY"]}]},
+    "PART": {"pk_cols": ["P_PARTKEY"], "static": True},
+    "SUPPLIER": {"pk_cols": ["S_SUPPKEY"], "static": True, "fks": [{"columns": ["S_NATIONKEY"], "parent_table": "NATION", "parent_columns": ["N_NATIONKEY"]}]},
+    "LINEITEM": {
+        "pk_cols": ["O_ORDERKEY", "L_LINENUMBER"],
+        "fks": [
+            {"columns": ["O_ORDERKEY"], "parent_table": "ORDERS", "parent_columns": ["O_ORDERKEY"]},
+            {"columns": ["L_PARTKEY"], "parent_table": "PART", "parent_columns": ["P_PARTKEY"]},
+            {"columns": ["L_SUPPKEY"], "parent_table": "SUPPLIER", "parent_columns": ["S_SUPPKEY"]},
+        ],
+    },
+}
+
+
+@query
+def admission_refilled(spark, d):
+    """Thirty customers all of whose orders and items resolve at a target that lacks some parts; rejected ones are refilled."""
+    c, o, li, n, p, s = _t(spark, d, "customer", "orders", "lineitem", "nation", "part", "supplier")
+    specs = catalog.normalise(SALES)
+    plans = catalog.clone_plans({t: specs[t] for t in ("CUSTOMER", "ORDERS", "LINEITEM")}, "CUSTOMER", {"CUSTOMER": {"C_CUSTKEY"}, "ORDERS": {"O_ORDERKEY"}})
+    frames = {"CUSTOMER": c, "ORDERS": o.withColumnRenamed("o_custkey", "c_custkey"), "LINEITEM": li.withColumnRenamed("l_orderkey", "o_orderkey")}
+    scratch = Scratch(spark, "admission")
+    reject = selection.admission(frames, plans, specs, "CUSTOMER", {"NATION": n, "PART": p.where("p_size <> 7"), "SUPPLIER": s}, scratch)
+    return selection.choose(c.select("c_custkey"), "c_custkey", 30, "s1", reject, scratch)
+
+
+@query
+def source_filters_instrumento(spark, d):
+    (i,) = _t(spark, d, "instrumento_financeiro")
+    out, notes = selection.source_filters(i, {"num_tipo_if": 49, "coluna_que_falta": 1}, {"num_carga": 5}, ("num_if_origem",))
+    return out.select("num_if", "num_carga").distinct().withColumn("avisos", F.lit(len(notes)))
+
+
+@query
+def bernoulli_by_hash(spark, d):
+    return selection.bernoulli(*_t(spark, d, "events"), "event_id", 0.05, "s1").select("event_id", "event_type")
+
+
+@query
+def plan_load_order(spark, d):
+    """The load order of the sales tables, with the rows that each then brings."""
+    order = catalog.load_order(["LINEITEM", "ORDERS", "CUSTOMER", "NATION", "REGION", "PART", "SUPPLIER"], catalog.normalise(SALES))
+    n = stats.counts({t: table(spark, d, t.lower()) for t in order})
+    return spark.createDataFrame([(i, t) for i, t in enumerate(order, 1)], "posicao int, tabela string").join(n, "tabela").select("posicao", "tabela", "n")
+
+
+@query
+def plan_buckets(spark, d):
+    """Tables dealt by their rows to three loads, the largest first to the lightest: the loads that come out, largest first."""
+    names = ("customer", "orders", "lineitem", "part", "supplier", "nation", "region")
+    size = {r["tabela"]: r["n"] for r in stats.counts({t: table(spark, d, t) for t in names}).collect()}
+    return spark.createDataFrame([(sum(size[t] for t in b), ",".join(sorted(b))) for b in catalog.pack_by_size(size, 3)], "linhas bigint, tabelas string")
+
+
+@query
+def partitioned_pruned(spark, d):
+    """Orders written in a folder a status and priority; two identities read back, no other folder with them."""
+    (o,) = _t(spark, d, "orders")
+    path, by = f"{Scratch(spark, 'particoes').at}/saida", ["o_orderstatus", "o_orderpriority"]
+    publish.write_partitioned(o, path, by)
+    back = spark.read.parquet(path).where(publish.identities(by, [("O", "1-URGENT"), ("F", "2-HIGH")]))
+    return back.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("soma_chaves"))
+
+
+@query
+def run_directory_latest(spark, d):
+    """Two runs published one after the other: what the pointer names, as its tables read back."""
+    n, r = _t(spark, d, "nation", "region")
+    base = f"{Scratch(spark, 'execucoes').at}/saida"
+    publish.run_directory(spark, base, "r1", {"region": r})
+    publish.run_directory(spark, base, "r2", {"region": r, "nation": n})
+    now = publish.latest(spark, base)
+    return stats.counts({t: spark.read.parquet(f"{base}/{now['run']}/{t}") for t in now["rows"]}).withColumn("execucao", F.lit(now["run"]))
+
+
 # --- shapes ---------------------------------------------------------------------------------------------------------------
 
 
@@ -683,7 +760,7 @@ def rank_bottomk_by_hash(spark, d):
 @query
 def publish_readback_counts(spark, d):
     n, r = _t(spark, d, "nation", "customer")
-    base = f"{folder(spark)}/publicado-{uuid.uuid4().hex}"
+    base = f"{Scratch(spark, 'publicado').at}/saida"
     counts = publish.publish(spark, {"nation": n, "customer": r}, base, [d])
     back = {t: spark.read.parquet(f"{base}/{t}") for t in counts}
     return stats.counts(back)
@@ -692,7 +769,7 @@ def publish_readback_counts(spark, d):
 @query
 def snapshot_roundtrip(spark, d):
     (o,) = _t(spark, d, "orders")
-    path = f"{folder(spark)}/retrato-{uuid.uuid4().hex}"
+    path = f"{Scratch(spark, 'retrato').at}/saida"
     publish.write_checked(o, path, publish.snapshot_partitions(o.count()))
     return repair.frame_differences(o, spark.read.parquet(path), ["o_orderkey"])
 
@@ -705,7 +782,7 @@ def reservation_ranges(spark, d):
     floors = {"orders": o.agg(F.max("o_orderkey")).first()[0], "customer": c.agg(F.max("c_custkey")).first()[0]}
     ledger = publish.reserve([], {k: 3 * v for k, v in n.items()}, floors)
     ledger = publish.reserve(ledger, {k: 3 * v for k, v in n.items()}, floors)
-    path = publish.artefact(spark, f"{folder(spark)}/reservas-{uuid.uuid4().hex}", "reserva", {"faixas": ledger})
+    path = publish.artefact(spark, Scratch(spark, "reservas").at, "reserva", {"faixas": ledger})
     rows = publish.read_artefact(spark, path)["faixas"]
     return spark.createDataFrame([(r["name"], r["start"], r["end"]) for r in rows], "nome string, inicio bigint, fim bigint")
 

@@ -290,3 +290,14 @@ SQL["explain_missing_key"] = _u(
 SQL["observed_discriminators"] = f"select num_tipo_if, array_to_string(list_sort(list(distinct upper(substr(trim(cod_if), 1, 3)))), ',') as prefixos from instrumento_financeiro where {FULL} group by 1"
 SQL["segment_flags"] = """select i.num_if, case when p.num_if is null then 'sem_carteira' when s = 1 then 'sim' when s = 0 then 'nao' else 'desconhecido' end as segmento from (select distinct num_if from instrumento_financeiro) i
 left join (select num_if, max(s) s from carteira_comitente c left join (select num_id_entidade, max(case when ind_comitente_simplificado = 'S' then 1 else 0 end) s from comitente group by 1) e on e.num_id_entidade = c.num_id_entidade group by 1) p on p.num_if = i.num_if"""
+
+SQL["admission_refilled"] = """select c_custkey from (select distinct c_custkey, sha256('s1:' || c_custkey) as posto from customer where c_custkey not in
+(select o_custkey from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey where p_size = 7 and o_custkey is not null)) order by posto, c_custkey limit 30"""
+SQL["source_filters_instrumento"] = "select distinct num_if, num_carga, 1 as avisos from instrumento_financeiro where num_tipo_if = 49 and num_carga > 5 and num_if_origem is null"
+SQL["bernoulli_by_hash"] = f"select event_id, event_type from events where substr(sha256('s1:' || event_id), 1, 13) < '{int(0.05 * 16**13):013x}'"
+SQL["plan_load_order"] = _u(f"select {i} as posicao, '{t}' as tabela, count(*) as n from {t}" for i, t in enumerate(("REGION", "NATION", "CUSTOMER", "ORDERS", "PART", "SUPPLIER", "LINEITEM"), 1))
+# the largest table outweighs all others, and so does the second all those after it
+SQL["plan_buckets"] = """select (select count(*) from lineitem) as linhas, 'lineitem' as tabelas union all select (select count(*) from orders), 'orders' union all
+select (select count(*) from customer) + (select count(*) from part) + (select count(*) from supplier) + (select count(*) from nation) + (select count(*) from region), 'customer,nation,part,region,supplier'"""
+SQL["partitioned_pruned"] = "select o_orderstatus, o_orderpriority, count(*) as n, sum(o_orderkey) as soma_chaves from orders where (o_orderstatus, o_orderpriority) in (('O', '1-URGENT'), ('F', '2-HIGH')) group by 1, 2"
+SQL["run_directory_latest"] = _u(f"select '{t}' as tabela, count(*) as n, 'r2' as execucao from {t}" for t in ("region", "nation"))

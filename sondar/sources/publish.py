@@ -8,7 +8,8 @@ import math
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.catalog import canonical, overlaps
 
@@ -17,9 +18,9 @@ class Files:
     """The few calls on a Hadoop file system that publishing needs."""
 
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        self.path = jvm.org.apache.hadoop.fs.Path
-        self.fs = self.path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.jvm, self.gateway, self.conf = spark.sparkContext._jvm, spark.sparkContext._gateway, spark.sparkContext._jsc.hadoopConfiguration()
+        self.path = self.jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path(path).getFileSystem(self.conf)
 
     def exists(self, p: str) -> bool:
         return self.fs.exists(self.path(p))
@@ -31,6 +32,16 @@ class Files:
         if not self.fs.rename(self.path(a), self.path(b)):
             raise OSError(f"{a} could not be renamed to {b}")
 
+    def replace(self, p: str, text: str) -> None:
+        """The file with a new content, in one step: a reader finds the old one or the new one."""
+        jvm, new = self.jvm, f"{p}.{uuid.uuid4().hex}"
+        self.create(new, text)
+        how = jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.gateway.new_array(how, 1)
+        options[0] = how.OVERWRITE
+        path = self.fs.makeQualified(self.path(p))
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.conf).rename(self.fs.makeQualified(self.path(new)), path, options)
+
     def mkdirs(self, p: str) -> None:
         self.fs.mkdirs(self.path(p))
 
@@ -46,7 +57,6 @@ class Files:
 def write_checked(df: DataFrame, path: str, partitions: int | None = None) -> int:
     """Written where nothing is, read back and counted: schema and rows must be what went in. The rows are counted on the way, so the plan runs once."""
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -125,12 +135,33 @@ def run_directory(spark: SparkSession, base: str, run: str, tables: Mapping[str,
     """A directory for one run that is never written again, and LATEST.json that names it once all is read back."""
     at = f"{base}/{run}"
     counts = publish(spark, tables, at, require_absent=True)
-    files = Files(spark, base)
-    files.delete(f"{base}/LATEST.json")
-    files.create(f"{base}/LATEST.json", canonical({"run": run, "rows": counts}))
+    Files(spark, base).replace(f"{base}/LATEST.json", canonical({"run": run, "rows": counts}))
     return at
 
 
+def latest(spark: SparkSession, base: str) -> dict:
+    """What LATEST.json says: the last whole run and its rows a table."""
+    return json.loads(spark.read.text(f"{base}/LATEST.json", wholetext=True).first()[0])
+
+
+def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
+    """One folder a value of ``by``, so that a filter on them reads no other. Rows are sorted within their task: it holds one open file at a time, and a hot value is written by many tasks."""
+    df.sortWithinPartitions(*by).write.mode("errorifexists").partitionBy(*by).parquet(path)
+
+
+def identities(by: list[str], wanted: list[tuple]) -> Column:
+    """The condition that a row has one of ``wanted`` (at most 200) in its partition columns, in a form that prunes folders."""
+    if len(wanted) > 200:
+        raise ValueError("more than 200 identities: join a table of them")
+    out = F.lit(False)
+    for values in wanted:
+        same = F.lit(True)
+        for c, v in zip(by, values):
+            same = same & (F.col(c) == F.lit(v))
+        out = out | same
+    return out
+
+
 def reserve(ledger: list[dict], wanted: Mapping[str, int], floors: Mapping[str, int], step: int = 1) -> list[dict]:
     """The ledger with a new range a name: from beyond its last range and its floor, ``wanted`` keys long. Pure; the caller swaps the ledger file."""
     out = list(ledger)

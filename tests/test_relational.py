@@ -187,6 +187,8 @@ def test_stats(spark):
     assert (r.n, r.nulos, r.minimo, r.maximo, r.media, r["p0.5"]) == (5, 2, 1.0, 5.0, 3.0, 3.0)
     assert [x.n for x in stats.histogram(df, "v", 1.0, 5.0, 4).orderBy("faixa").collect()] == [1, 0, 1, 1]
     assert stats.coverage(df, df.where("v < 4"), ["v"]).first().cobertura == 0.5
+    two, none = spark.createDataFrame([(2.0,)], "v double"), spark.createDataFrame([(None,)], "v double")
+    assert [stats.coverage(a, b, ["v"]).first().cobertura for a, b in ((two, df), (two, df.where("v > 2")), (none, df))] == [1.0, 0.0, None]
     assert stats.null_rates(df.limit(0)).first().parte == 0.0 and stats.summary(df.limit(0), ["v"]).first().n == 0
 
 
@@ -209,6 +211,12 @@ def test_publish(spark, tmp_path):
     assert publish.read_artefact(spark, path) == {"a": [1, 2], "b": 1}
     publish.run_directory(spark, str(tmp_path / "runs"), "r1", {"a": a})
     assert (tmp_path / "runs" / "LATEST.json").exists()
+    publish.run_directory(spark, str(tmp_path / "runs"), "r2", {"a": a})
+    assert publish.latest(spark, str(tmp_path / "runs"))["run"] == "r2"
+    parts = str(tmp_path / "parts")
+    publish.write_partitioned(spark.range(9).selectExpr("id", "id % 3 as x", "id % 2 as y"), parts, ["x", "y"])
+    got = spark.read.parquet(parts).where(publish.identities(["x", "y"], [(0, 0), (2, 1)]))
+    assert sorted(r.id for r in got.collect()) == [0, 5, 6] and spark.read.parquet(parts).where(publish.identities(["x"], [])).isEmpty()
     assert tables.optional_table(spark, base, "none") is None and list(tables.tables(spark, base, ["none"])) == []
 
 
