@@ -58,6 +58,11 @@ class Scratch:
         self.paths[id(out)] = path
         return out, seen.get["rows"], seen.get["hits"]
 
+    def bytes(self, df: DataFrame) -> int:
+        """Bytes that a kept frame takes in its folder (columns packed and compressed)."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths[id(df)])
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             if path := self.paths.pop(id(df), None):

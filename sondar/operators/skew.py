@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-#: A side may be broadcast up to so many rows (narrow rows of keys and counts, some tens of MB).
+#: A side may be broadcast up to so many rows, and so many bytes as written (unpacked, some tens of MB).
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 8_000_000
 #: A key is hot from so many rows on; below that one task takes them with ease.
 HOT_ROWS = 1_000_000
 #: So many of the hottest keys are salted: any other key has less than one in so many of the rows.
@@ -61,8 +62,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spre
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str], scratch: Scratch, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``left`` join ``right`` (one row a key): ``right`` is written and counted, then broadcast if it has up to ``rows`` rows, else joined with salted hot keys."""
+    """``left`` join ``right`` (one row a key): ``right`` is written and counted, then broadcast if it has up to ``rows`` rows and ``BROADCAST_BYTES`` bytes, else joined with salted hot keys."""
     right, n, _ = scratch.counted(right)
-    if n <= rows:
+    if n <= rows and scratch.bytes(right) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, spread)

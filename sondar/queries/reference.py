@@ -706,6 +706,19 @@ def stats_percentiles(spark, d):
     return stats.summary(*_t(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"], (0.25, 0.5, 0.75))
 
 
+@query
+def stats_percentiles_ranks(spark, d):
+    """Whether each approximate percentile's exact rank lies within the accuracy of one in 10,000 rows."""
+    (li,) = _t(spark, d, "lineitem")
+    shares, cols = (0.25, 0.5, 0.75), ["l_quantity", "l_extendedprice"]
+    got = stats.summary(li, cols, shares)
+    each = got.select("coluna", "n", F.explode(F.array(*(F.struct(F.lit(q).alias("parte"), F.col(f"`p{q:g}`").alias("v")) for q in shares))).alias("e")).select("coluna", "n", "e.parte", "e.v")
+    values = li.select(F.explode(F.array(*(F.struct(F.lit(c).alias("coluna"), F.col(c).cast("double").alias("x")) for c in cols))).alias("e")).select("e.coluna", "e.x")
+    ranks = values.join(F.broadcast(each), "coluna").groupBy("coluna", "parte", "n").agg(F.count_if(F.col("x") < F.col("v")).alias("abaixo"), F.count_if(F.col("x") <= F.col("v")).alias("ate"))  # a row a column and share
+    off = F.col("n") / 10_000 + 1
+    return ranks.select("coluna", "parte", "n", ((F.col("abaixo") - off <= F.col("parte") * F.col("n")) & (F.col("parte") * F.col("n") <= F.col("ate") + off)).alias("dentro"))
+
+
 @query
 def stats_null_rates(spark, d):
     return stats.null_rates(*_t(spark, d, "operacao"))

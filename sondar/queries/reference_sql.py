@@ -301,3 +301,4 @@ SQL["plan_buckets"] = """select (select count(*) from lineitem) as linhas, 'line
 select (select count(*) from customer) + (select count(*) from part) + (select count(*) from supplier) + (select count(*) from nation) + (select count(*) from region), 'customer,nation,part,region,supplier'"""
 SQL["partitioned_pruned"] = "select o_orderstatus, o_orderpriority, count(*) as n, sum(o_orderkey) as soma_chaves from orders where (o_orderstatus, o_orderpriority) in (('O', '1-URGENT'), ('F', '2-HIGH')) group by 1, 2"
 SQL["run_directory_latest"] = _u(f"select '{t}' as tabela, count(*) as n, 'r2' as execucao from {t}" for t in ("region", "nation"))
+SQL["stats_percentiles_ranks"] = _u(f"select '{c}' as coluna, {q} as parte, count(*) as n, true as dentro from lineitem" for c in ("l_quantity", "l_extendedprice") for q in (0.25, 0.5, 0.75))

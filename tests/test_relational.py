@@ -248,3 +248,14 @@ def test_exact_jaccard_has_no_largest_set(spark, scratch):
     v = scratch.keep(similarity.value_counts(f, similarity.plans(f)))
     got = similarity.jaccard(v, similarity.pairs(similarity.profiles(v)), similarity.SimilarityConfig(exact_limit=100)).collect()
     assert [(r.comuns, r.jaccard) for r in got] == [(200, 0.5)]
+
+
+def test_a_side_of_few_but_wide_rows_is_not_broadcast(spark, scratch, monkeypatch):
+    left = spark.range(50).selectExpr("id % 5 as k", "id")
+    right = spark.range(5).selectExpr("id as k", "sha2(cast(id as string), 256) as w")
+    plan = lambda df: df._jdf.queryExecution().toString()
+    small = skew.sized_join(left, right, ["k"], "inner", ["id"], scratch)
+    assert "strategy=broadcast" in plan(small)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 10)
+    wide = skew.sized_join(left, right, ["k"], "inner", ["id"], scratch)
+    assert "strategy=broadcast" not in plan(wide) and rows(wide, "k", "id", "w") == rows(small, "k", "id", "w")
