@@ -158,10 +158,10 @@ def p8_limites(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p2_amostra, p2_limiares, p2_estratos, p2_elevada, p6_itens, p6_containers, p6_resumo, p6_conferencia, p7_colecao, p7_fontes, p7_fontes_orcamento, p7_fontes_entropia, p7_conferencia, p8_found, p8_fontes, p8_comprimentos, p8_limites)}
 
 
-def _p2(fixed: str) -> str:
-    row = "{'l': l, 'c': -g, 's': s}"
-    rows = f"(select num_if, s, g, {fixed} as l from (select num_if, coalesce(cast(num_tipo_if as varchar), '') as s, coalesce(num_carga, 2147483647) as g from instrumento_financeiro where num_if is not null))"
-    return f"(select num_if, x.s as estrato, g as carga, substr(sha256('amostra-1:' || num_if), 1, 13) as h, x.l as limiar from (select num_if, max({row}) as x, min(g) as g from {rows} group by 1))"
+def _p2(fixed: str, chosen: bool = True) -> str:
+    rows = f"(select *, {fixed} as l, substr(sha256('amostra-1:' || num_if), 1, 13) as h from (select num_if, coalesce(cast(num_tipo_if as varchar), '') as s, coalesce(num_carga, 2147483647) as g from instrumento_financeiro where num_if is not null))"
+    best = "max({'l': l, 'c': -g, 's': s})"
+    return f"(select num_if, x.s as estrato, g as carga, h, x.l as limiar from (select num_if, h, {best} as x, min(g) as g from {rows} where {'h < l' if chosen else 'true'} group by 1, 2))"
 
 
 def _hex(rate: float) -> str:
@@ -196,10 +196,10 @@ def _p8_lengths() -> str:
 SQL: dict[str, str] = {
     "p7_conferencia": f"select distinct lower(nullif(trim(source, {BL}), '')) as source, 0 as usos_acima_do_limite, 0 as documentos_de_outra_fonte, false as longe_da_meta from fonte_alvo where nullif(trim(source, {BL}), '') is not null",
     "p8_comprimentos": _p8_lengths(),
-    "p2_amostra": f"select * from {_p2(_hex(0.10))} where h < limiar",
-    "p2_limiares": f"select estrato, limiar, count(*) as chaves, count(*) filter (h < limiar) as escolhidas from {_p2(_hex(0.10))} group by 1, 2",
-    "p2_estratos": f"select * from {_p2(_rates({'49': 0.05, '81': 0.20, '': 0.50}, 0.10))} where h < limiar",
-    "p2_elevada": f"select * from {_p2(_rates({'96': 0.30}, 0.10))} where h < limiar",
+    "p2_amostra": f"select * from {_p2(_hex(0.10))}",
+    "p2_limiares": f"select estrato, limiar, count(*) as chaves, count(*) filter (h < limiar) as escolhidas from {_p2(_hex(0.10), False)} group by 1, 2",
+    "p2_estratos": f"select * from {_p2(_rates({'49': 0.05, '81': 0.20, '': 0.50}, 0.10))}",
+    "p2_elevada": f"select * from {_p2(_rates({'96': 0.30}, 0.10))}",
     # tokens can't be counted in SQL: what must hold of the result can
     "p6_conferencia": "select distinct cod_recipiente, (select count(*) from documents) as documentos, 0 as incompletos, 0 as divididos_sem_necessidade, 0 as acima_da_capacidade, 0 as numeros_vagos from recipiente",
 }

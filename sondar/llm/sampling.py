@@ -53,28 +53,30 @@ def bounded(rows: DataFrame, config: SampleConfig, previous: DataFrame | None, s
     return sized_join(rows, old, ["estrato"], "left", ["chave"], scratch).withColumn("limiar", F.greatest("limiar", "__old")).drop("__old")
 
 
-def keyed(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig, previous: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
-    """One row a key: chave, estrato, carga (first load), limiar, h.
-
-    A key seen in several strata is in that of the highest threshold; of several such, in that of its first load; of
-    several such, in the last by name. NULL keys name nothing and are left out; a NULL stratum is the stratum ''; a NULL
-    load counts as the last of all. Repeated rows are combined before the shuffle.
-    """
+def _rows(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig, previous: DataFrame | None, scratch: Scratch | None) -> DataFrame:
+    """chave, estrato, carga, limiar, h of every row with a key. NULL keys name nothing; a NULL stratum is the stratum ''; a NULL load counts as the last of all."""
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("chave"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("estrato"), F.coalesce(F.col(load).cast("int"), F.lit(2**31 - 1)).alias("carga"))
-    rows = bounded(rows, config, previous, scratch)
+    return bounded(rows, config, previous, scratch).withColumn("h", key_hash(F.col("chave"), config.salt))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """One row a key: chave, estrato, carga (first load of the rows), limiar, h. The stratum is that of the highest threshold; of several such, that of the first load; of several such, the last by name. Repeated rows are combined before the shuffle."""
     best = F.max(F.struct("limiar", (-F.col("carga")).alias("c"), "estrato")).alias("__b")
-    return rows.groupBy("chave").agg(best, F.min("carga").alias("carga")).select("chave", "__b.estrato", "carga", "__b.limiar", key_hash(F.col("chave"), config.salt).alias("h"))
+    return rows.groupBy("chave", "h").agg(best, F.min("carga").alias("carga")).select("chave", "__b.estrato", "carga", "__b.limiar", "h")
 
 
 def stable_sample(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig, previous: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
-    """chave, estrato, carga (the key's first load), h, limiar of the chosen keys. Empty in, empty out.
+    """chave, estrato, carga, h, limiar of the chosen keys. Empty in, empty out.
 
-    Equal hashes of different keys (one in 2**52) are chosen together.
+    A key is chosen if any of its rows lies below that row's threshold, which is to say below the highest; rows that
+    don't are left out before the shuffle. carga is the first load with a row that chooses the key, estrato the stratum
+    with the highest threshold. Equal hashes of different keys (one in 2**52) are chosen together.
     """
-    return keyed(df, key, stratum, load, config, previous, scratch).where(F.col("h") < F.col("limiar")).select("chave", "estrato", "carga", "h", "limiar")
+    rows = _rows(df, key, stratum, load, config, previous, scratch)
+    return _keyed(rows.where(F.col("h") < F.col("limiar"))).select("chave", "estrato", "carga", "h", "limiar")
 
 
 def thresholds(df: DataFrame, key: str, stratum: str, load: str, config: SampleConfig, previous: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
     """estrato, limiar, chaves, escolhidas: the state to hand to the next run, with what it chooses of the keys so far."""
-    keys = keyed(df, key, stratum, load, config, previous, scratch)
+    keys = _keyed(_rows(df, key, stratum, load, config, previous, scratch))
     return keys.groupBy("estrato", "limiar").agg(F.count(F.lit(1)).alias("chaves"), F.count_if(F.col("h") < F.col("limiar")).alias("escolhidas"))
