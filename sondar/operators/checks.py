@@ -150,3 +150,14 @@ def clone_report(source: DataFrame, clones: DataFrame, pk: str, factor: int, sta
     one = beside(n, got, distinct)
     rows = [("linhas", F.col("n"), F.col("rows")), ("chaves_distintas", F.col("n"), F.col("keys")), ("menor_chave", F.lit(start).cast("bigint"), F.col("least")), ("nulos", F.lit(0).cast("bigint"), F.col("nulls"))]
     return one.select(F.inline(F.array(*(F.struct(F.lit(r).alias("regra"), a.cast("bigint").alias("esperado"), b.cast("bigint").alias("obtido")) for r, a, b in rows))))
+
+
+def report(findings: DataFrame) -> tuple[dict, str, int]:
+    """The findings (a row a check: as many as specs and schemas ask for) as a document, as text, and the exit code: 1 if any rule is broken. What can't be verified is counted apart and breaks nothing."""
+    rows = [r.asDict() for r in findings.orderBy("tabela", "verificacao", "colunas").collect()]
+    broken = [r for r in rows if r["violacoes"]]
+    unknown = [r for r in rows if r["violacoes"] is None]
+    doc = {"verificacoes": len(rows), "violadas": len(broken), "nao_verificaveis": len(unknown), "achados": rows}
+    lines = [f"{len(rows)} checks, {len(broken)} broken, {len(unknown)} not verifiable"]
+    lines += [f"  {r['tabela']} {r['verificacao']} ({r['colunas']}): {'not verifiable' if r['violacoes'] is None else r['violacoes']}" for r in broken + unknown]
+    return doc, "\n".join(lines), int(bool(broken))

@@ -479,6 +479,17 @@ def faltantes_merge(spark, d):
     return selection.merge_missing(old, selection.missing_keys(c, "num_id_entidade", e, "num_id_entidade", "carteira_comitente"), [("carteira_comitente", "num_id_entidade")])
 
 
+@query
+def faltantes_drift(spark, d):
+    """The list of missing keys kept in a folder: written, one of its columns enumerated anew, merged, and put back in its own place."""
+    c, x, e = _t(spark, d, "carteira_comitente", "conta", "comitente")
+    path = f"{Scratch(spark, 'faltantes').at}/lista"
+    publish.replace_table(selection.missing_keys(c, "num_conta", x, "num_conta", "carteira_comitente").unionByName(selection.missing_keys(c, "num_id_entidade", e.where("dat_exclusao is null"), "num_id_entidade", "carteira_comitente")), path)
+    new = selection.missing_keys(c, "num_id_entidade", e, "num_id_entidade", "carteira_comitente")
+    publish.replace_table(selection.merge_missing(spark.read.parquet(path), new, [("carteira_comitente", "num_id_entidade")]), path)
+    return spark.read.parquet(path)
+
+
 @query
 def admission_rejected(spark, d):
     """Instruments with a holding whose account is neither in their own batch nor at the target."""

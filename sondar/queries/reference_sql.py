@@ -145,7 +145,7 @@ def _missing(t, c, up, uc, where="true"):
 ENT = _missing("carteira_comitente", "num_id_entidade", "comitente", "num_id_entidade")
 ACC = _missing("carteira_comitente", "num_conta", "conta", "num_conta")
 SQL["faltantes_missing_keys"] = _u([ACC, ENT, _missing("operacao", "num_id_ctx_msg_p2", "contexto_mensagem", "num_id_ctx_msg")])
-SQL["faltantes_merge"] = _u([ACC, ENT])
+SQL["faltantes_merge"] = SQL["faltantes_drift"] = _u([ACC, ENT])
 K = NORM.format(c="num_conta")
 SQL["admission_rejected"] = f"""select distinct num_if, 'num_conta' as fk from carteira_comitente where num_if is not null and coalesce({K}, '') <> '' and {K} not in (select {K} from conta_destino where num_conta is not null)
 and {K} not in (select {NORM.format(c='cast(num_conta as varchar)')} from conta where num_id_situacao_conta = 2)"""

@@ -95,6 +95,12 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, sou
     except BaseException:
         files.delete(stage)
         raise
+    _swap(files, stage, base, old)
+    return counts
+
+
+def _swap(files: Files, stage: str, base: str, old: str) -> None:
+    """``stage`` in the place of ``base`` by renaming; what was there comes back if that fails, and goes if it doesn't."""
     had = files.exists(base)
     if had:
         files.rename(base, old)
@@ -106,7 +112,19 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, sou
         raise
     if had:
         files.delete(old)
-    return counts
+
+
+def replace_table(df: DataFrame, path: str) -> int:
+    """One table in place of what lies at ``path``, which ``df`` may be read from: written beside it and checked, then swapped in. Tables beside it are not touched. Returns the rows."""
+    files, mark = Files(df.sparkSession, path), uuid.uuid4().hex
+    stage = f"{path}.__staging_{mark}"
+    try:
+        n = write_checked(df, stage)
+    except BaseException:
+        files.delete(stage)
+        raise
+    _swap(files, stage, path, f"{path}.__previous_{mark}")
+    return n
 
 
 def artefact(spark: SparkSession, folder: str, kind: str, content: dict) -> str:

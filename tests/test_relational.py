@@ -259,3 +259,19 @@ def test_a_side_of_few_but_wide_rows_is_not_broadcast(spark, scratch, monkeypatc
     monkeypatch.setattr(skew, "BROADCAST_BYTES", 10)
     wide = skew.sized_join(left, right, ["k"], "inner", ["id"], scratch)
     assert "strategy=broadcast" not in plan(wide) and rows(wide, "k", "id", "w") == rows(small, "k", "id", "w")
+
+
+def test_report_of_findings(spark):
+    f = spark.createDataFrame([("t", "fk", "a", None), ("t", "not_null", "b", 0), ("t", "unique", "c", 3)], checks.FINDING)
+    doc, text, code = checks.report(f)
+    assert (doc["verificacoes"], doc["violadas"], doc["nao_verificaveis"], code) == (3, 1, 1, 1)
+    assert text.splitlines() == ["3 checks, 1 broken, 1 not verifiable", "  t unique (c): 3", "  t fk (a): not verifiable"]
+    assert checks.report(f.where("violacoes = 0"))[2] == 0 and checks.report(f.limit(0))[0]["achados"] == []
+
+
+def test_a_table_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = str(tmp_path / "base" / "t")
+    assert publish.replace_table(spark.range(5), path) == 5
+    assert publish.replace_table(spark.read.parquet(path).where("id > 1"), path) == 3
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3, 4]
+    assert [p.name for p in (tmp_path / "base").iterdir()] == ["t"]
