@@ -212,7 +212,7 @@ SQL["column_candidate_pairs"] = f"select tabela_a, coluna_a, tabela_b, coluna_b,
 DISTINCT = f"(select distinct tabela, coluna, tipo, valor from {_long()} where valor is not null)"
 SQL["jaccard_exact"] = f"""with d as {DISTINCT}, i as (select a.tabela ta, a.coluna ca, b.tabela tb, b.coluna cb, count(*) n from d a join d b on a.tipo = b.tipo and a.valor = b.valor and a.tabela < b.tabela group by 1, 2, 3, 4)
 select tabela_a, coluna_a, tabela_b, coluna_b, coalesce(n, 0) as comuns, coalesce(n, 0) / (da + db - coalesce(n, 0)) as jaccard, coalesce(n, 0) / (da + db - coalesce(n, 0)) >= 0.8 as igual
-from {PAIRS} p left join i on i.ta = tabela_a and i.ca = coluna_a and i.tb = tabela_b and i.cb = coluna_b where situacao = 'ok' and rota = 'jaccard' and greatest(da, db) <= 100000"""
+from {PAIRS} p left join i on i.ta = tabela_a and i.ca = coluna_a and i.tb = tabela_b and i.cb = coluna_b where situacao = 'ok' and rota = 'jaccard'"""
 SQL["jaccard_bottomk_wilson"] = f"""with d as {DISTINCT}, s as (select * from (select *, sha256(valor) h, row_number() over (partition by tabela, coluna order by sha256(valor), valor) r from d) where r <= 2048),
 u as (select tabela_a, coluna_a, tabela_b, coluna_b, h, valor, count(*) = 2 as b from (select p.*, h, valor from {PAIRS} p join s on s.tabela = tabela_a and s.coluna = coluna_a union all select p.*, h, valor from {PAIRS} p join s on s.tabela = tabela_b and s.coluna = coluna_b) where situacao = 'ok' and rota = 'jaccard' group by 1, 2, 3, 4, 5, 6),
 g as (select tabela_a, coluna_a, tabela_b, coluna_b, count(*) as m, count(*) filter (b) as c from (select *, row_number() over (partition by tabela_a, coluna_a, tabela_b, coluna_b order by h, valor) r from u) where r <= 2048 group by 1, 2, 3, 4),
